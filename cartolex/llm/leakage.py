@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.words import word_string
 
 BITS = 22
+LONGEST = 24
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,8 +69,8 @@ class ItemIndex:
         self.usable = self.length < 1 << 30
         if not self.usable:
             return
-        # The longest q whose bound still is two or more.
-        self.q = max(1, (self.length - 1) // (edits + 1))
+        # The longest q whose bound still is two or more; with edits a shorter one, whose bound is worth counting up to.
+        self.q = max(1, min((self.length - 1) // (edits + 1), LONGEST) if edits else self.length - 1)
         self.bound = max(1, self.length + 1 - self.q * (edits + 1))
         parts = [(_grams(_codes(t), self.q), k) for k, t in enumerate(self.norms)]
         gram = np.concatenate([g for g, _ in parts])
@@ -86,8 +87,8 @@ class ItemIndex:
     def _runs(self, w: list[str]) -> set[tuple[str, ...]]:
         return {tuple(w[i : i + self.words]) for i in range(len(w) - self.words + 1)}
 
-    def candidates(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
-        """(text, item, from, to): regions of the texts whose hits in one band reach the bound."""
+    def candidates(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, from, to, place in the item): regions of the texts whose hits in one band reach the bound."""
         if not self.usable or not texts:
             return []
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -100,7 +101,7 @@ class ItemIndex:
         k = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
         same = self.gram[k] == g[at]
         at, k = at[same], k[same]
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, int, int, int, int]] = []
         # Hits are unfolded in slices of bounded size that end at document ends.
         doc = np.searchsorted(start, at, side="right") - 1
         n = self.count[k]
@@ -123,34 +124,33 @@ class ItemIndex:
             for shift in (0, width) if self.edits else (0,):  # bands of two widths that overlap by one
                 band = (diag + shift) // (2 * width) if self.edits else diag
                 key = np.lexsort((pos, band, it, d))
-                kd, ki, kb, kp = d[key], it[key], band[key], pos[key]
+                kd, ki, kb, kp, kf = d[key], it[key], band[key], pos[key], self.place[src][key]
                 new = np.ones(len(key), bool)
                 new[1:] = (kd[1:] != kd[:-1]) | (ki[1:] != ki[:-1]) | (kb[1:] != kb[:-1])
                 head = np.flatnonzero(new)
                 hits = np.diff(np.append(head, len(key)))
                 for h, c in zip(head[hits >= self.bound], hits[hits >= self.bound]):
-                    out.append((int(kd[h]), int(ki[h]), int(kp[h]), int(kp[h + c - 1]) + self.q))
+                    out.append((int(kd[h]), int(ki[h]), int(kp[h]), int(kp[h + c - 1]) + self.q, int(kf[h])))
             lo = hi
         return out
 
-    def align(self, item: str, region: str) -> int:
-        """Edits between the region and the part of the item it fits best: alignment in a band, free at the item's ends."""
-        width = abs(len(item) - len(region)) + 2 * self.edits + 1
-        if region in item:
+    def align(self, item: str, region: str, place: int) -> int:
+        """Edits between the region and the item about `place`: alignment in a band, free at the item's ends."""
+        slack = 2 * self.edits + 1
+        part = item[max(0, place - slack) : place + len(region) + slack]
+        if region in part:
             return 0
-        a, b = _codes(region), _codes(item)
-        prev = np.zeros(len(b) + 1, np.int64)
+        a, b = _codes(region), _codes(part)
+        far, idx = 1 << 20, np.arange(len(b) + 1)
+        prev = np.where(idx <= 2 * slack, 0, far)
         for i, ch in enumerate(a, 1):
-            cur = np.empty_like(prev)
-            cur[0] = i
-            lo, hi = max(1, i - width), min(len(b), i + width + len(b) - len(a) if len(b) > len(a) else i + width)
-            best = np.minimum(prev[:-1] + (b != ch), prev[1:] + 1)
-            cur[1:] = best
-            idx = np.arange(len(b) + 1)
-            cur = np.minimum.accumulate(cur - idx) + idx
-            cur[1:lo] = 1 << 20
-            cur[hi + 1 :] = 1 << 20
-            prev = cur
+            cur = np.full(len(b) + 1, far)
+            lo, hi = max(0, i - slack), min(len(b), i + 2 * slack)
+            if lo == 0:
+                cur[0] = i
+            lo = max(1, lo)
+            cur[lo : hi + 1] = np.minimum(prev[lo - 1 : hi] + (b[lo - 1 : hi] != ch), prev[lo : hi + 1] + 1)
+            prev = np.minimum.accumulate(cur - idx) + idx
         return int(prev.min())
 
     def exact(self, item: int, text_words: list[str]) -> int:
@@ -167,23 +167,23 @@ def _scan(index: ItemIndex, exact: bool):
         for b in batches:
             ids, texts = b.column("doc").to_numpy(), b.column("norm").to_pylist()
             best: dict[tuple[int, int], tuple[int, int]] = {}
-            by: dict[tuple[int, int], list[tuple[int, int]]] = {}
-            for d, it, lo, hi in index.candidates(texts):
-                by.setdefault((d, it), []).append((lo, hi))
+            by: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+            for d, it, lo, hi, place in index.candidates(texts):
+                by.setdefault((d, it), []).append((lo, hi, place))
             for (d, it), spans in by.items():
                 if exact:
                     # the exact check: every region, widened to the words at its ends
-                    lo, hi = min(s for s, _ in spans), max(e for _, e in spans)
+                    lo, hi = min(s[0] for s in spans), max(s[1] for s in spans)
                     lo = texts[d].rfind(" ", 0, lo + 1) + 1
                     hi = (texts[d].find(" ", max(0, hi - 1)) + 1 or len(texts[d]) + 1) - 1
                     n = index.exact(it, texts[d][lo:hi].split(" "))
                     if n:
                         best[d, it] = (n, 0)
                 else:
-                    for lo, hi in spans:
-                        e = index.align(index.norms[it], texts[d][lo:hi])
+                    for lo, hi, place in spans:
+                        e = index.align(index.norms[it], texts[d][lo:hi], place)
                         size = hi - lo
-                        if e <= index.edits * max(1, size // index.length) and size > best.get((d, it), (0, 0))[0]:
+                        if size >= index.length - index.q * index.edits and e <= index.edits * max(1, size // index.length) and size > best.get((d, it), (0, 0))[0]:
                             best[d, it] = (size, e)
             keys = list(best)
             yield pa.record_batch({
@@ -202,7 +202,8 @@ def leaked(
 ) -> DataFrame:
     """(doc_id, item_id, size, edits): documents with a passage of an item.
 
-    `exact`: the passage is at least `words` consecutive words of the item, and size is the longest such run in words.
+    `exact`: the passage is at least `words` consecutive words of the item, with an edit budget of none, and size is the
+    longest such run in words.
     Else it is a region as long in characters as any such run, with at most `edits` edits per that length, found by
     the same filter and measured by alignment. The items are the stated query set: they go to the tasks in blocks of
     `block` items, each block is one pass over the documents, and more than block x blocks_most items are refused.
@@ -217,6 +218,6 @@ def leaked(
     docs = documents.select(F.col(doc_col).cast("long").alias("doc"), word_string(F.col(text_col)).alias("norm")).where("doc is not null and norm != ''")
     schema, out = "doc_id long, item_id long, size long, edits long", None
     for k in range(0, max(1, len(known)), block):
-        part = docs.mapInArrow(_scan(ItemIndex(known[k : k + block], words, edits), exact), schema)
+        part = docs.mapInArrow(_scan(ItemIndex(known[k : k + block], words, 0 if exact else edits), exact), schema)
         out = part if out is None else out.unionByName(part)
     return out

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.runtime import read_table
-from . import dressed, leakage, linked, overlap
+from . import dressed, layout, leakage, linked, overlap, residue
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -28,6 +29,10 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.overlap_report(overlap.cross_split_overlaps(rows), rows)
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.residue_pages(read_table(spark, sf, "website"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return linked.tied_cells(read_table(spark, sf, "release_rows"))
 
@@ -36,11 +41,27 @@ def p6_splits(spark: SparkSession, sf: str) -> DataFrame:
     return linked.grouped_splits(read_table(spark, sf, "release_rows"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    pages = read_table(spark, sf, "website")
+    lines = layout.furniture_lines(pages)
+    cases = residue.residue_pages(pages).select("page_id", F.lit("website_text").alias("col_name")).distinct()
+    return lines.join(cases, ["page_id", "col_name"], "left_anti").select("page_id", "col_name", "line_no")
+
+
+def p7_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    return layout.bodies(read_table(spark, sf, "website"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items")).select("doc_id", "item_id")
 
 
+def p9_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages as long as twenty words in any item, with one edit per that length."""
+    return leakage.leaked(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"), words=20, edits=1, exact=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p6_found, p6_splits, p9_found)
+    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages)
 }
 SQL: dict[str, str] = {}
