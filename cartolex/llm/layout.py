@@ -47,8 +47,7 @@ class _Tree(HTMLParser):
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k][0] in IMPLIED.get(tag, ()):
                 del self.open[k:]
-                break
-            if self.open[k][0] in SCOPE:
+            elif self.open[k][0] in SCOPE:
                 break
         a = {k: (v or "") for k, v in attrs}
         style = a.get("style", "").replace(" ", "").lower()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.runtime import read_table
-from . import dressed, layout, leakage, linked, overlap, residue
+from . import dressed, layout, leakage, linked, overlap, residue, tongues
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -33,6 +33,18 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return residue.residue_pages(read_table(spark, sf, "website"))
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    rows, pages = read_table(spark, sf, "release_rows"), read_table(spark, sf, "website")
+    model = tongues.Tongues(tongues.samples(rows))
+    found = tongues.mislabelled(rows, model, "release_rows")
+    return found.unionByName(tongues.mislabelled_pages(pages, model, residue.fitted(pages), "website"))
+
+
+def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_table(spark, sf, "release_rows")
+    return tongues.segment_languages(rows, tongues.Tongues(tongues.samples(rows)))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return linked.tied_cells(read_table(spark, sf, "release_rows"))
 
@@ -62,6 +74,6 @@ def p9_passages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages)
+    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p5_found, p5_segments, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages)
 }
 SQL: dict[str, str] = {}
