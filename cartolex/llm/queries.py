@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.runtime import read_table
-from . import dressed, layout, leakage, linked, overlap, residue, tongues
+from . import dressed, layout, leakage, linked, overlap, residue, stuffing, tongues
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,7 +73,11 @@ def p9_passages(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"), words=20, edits=1, exact=False)
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return stuffing.stuffed_documents(read_table(spark, sf, "documents")).select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p5_found, p5_segments, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages)
+    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p5_found, p5_segments, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages, p10_found)
 }
 SQL: dict[str, str] = {}
