@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.runtime import read_table
-from . import dressed, layout, leakage, linked, overlap, residue, stuffing, tongues
+from . import budget, dressed, layout, leakage, linked, overlap, packing, residue, stuffing, tongues
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -19,6 +19,16 @@ def p1_collapsed(spark: SparkSession, sf: str) -> DataFrame:
     return dressed.collapse(read_table(spark, sf, "release_rows"))
 
 
+def p2_slices(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_table(spark, sf, "release_rows")
+    return budget.slices(budget.row_tokens(rows, budget.fitted(rows)))
+
+
+def p2_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = read_table(spark, sf, "release_rows")
+    return budget.row_tokens(rows, budget.fitted(rows))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     pairs = overlap.cross_split_overlaps(read_table(spark, sf, "release_rows"))
     return pairs.selectExpr("least(train_id, eval_id) AS id_a", "greatest(train_id, eval_id) AS id_b")
@@ -64,6 +74,10 @@ def p7_bodies(spark: SparkSession, sf: str) -> DataFrame:
     return layout.bodies(read_table(spark, sf, "website"))
 
 
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.containers(read_table(spark, sf, "documents"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items")).select("doc_id", "item_id")
 
@@ -78,6 +92,6 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_collapsed, p3_found, p3_report, p4_found, p5_found, p5_segments, p6_found, p6_splits, p7_found, p7_bodies, p9_found, p9_passages, p10_found)
+    f.__name__: f for f in (p1_found, p1_collapsed, p2_slices, p2_rows, p3_found, p3_report, p4_found, p5_found, p5_segments, p6_found, p6_splits, p7_found, p7_bodies, p8_containers, p9_found, p9_passages, p10_found)
 }
 SQL: dict[str, str] = {}

@@ -39,7 +39,9 @@ STUFFED, BARE = 0.5, 0.06
 LONG, PRICED = 16, 0.25
 #: Share of its sentences' words from which a key phrase is stuffed.
 KEYED = 0.34
-MOST_SHARE = 0.5
+#: Share of words in such stretches from which a document is a case: a clear majority, as addresses count several words each
+#: and articles may end in long lists.
+MOST_SHARE = 0.6
 UNIT = re.compile(r"(?<=[.!?…。])\s+|\n+")
 TOKEN = re.compile(r"[^\W_]+")
 HOST = re.compile(r"https?://|www\.|\b[a-z0-9-]+\.(?:example|com|org|net|info|de|fr|es|it|nl|eu)\b", re.I)
