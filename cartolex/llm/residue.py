@@ -27,7 +27,7 @@ SLOT = re.compile(
         r"\{%[^%\n]*%\}", r"<%[^%\n]*%>", r"<\?[^?\n]*\?>", r"%[A-Z]{2,}(?:_[A-Z]+)*%", r"__[A-Z]{2,}(?:_[A-Z]+)*__", r"\bXX_[A-Z_]+_XX\b",
         r"\*\|[A-Z_]+\|\*", r"@@[A-Z_]+@@", r"#[a-z]+(?:_[a-z]+)*#", r"\(undefined\s+\w+\)", r":[a-z]+(?:_[a-z]+)*: null\b",
         r"\bTODO:?\s+[a-z_]+", r"\[(?:Your|Ihr|Votre|Su) [\w ]+\]", r"\[\w+ (?:einfügen|here|ici|aquí|qui|hier)\]", r"\[(?:INSERT|ENTER) \w+\]",
-        r"\[(?:[a-z]+_[a-z_]+)\]", r"<(?!(?:p|b|i|u|a|br|hr|li|ul|ol|em|tt|td|tr|th|dl|dt|dd|div|pre|sub|sup|code|span|strong|small|table|body|html|head)\b)[a-z]+(?:_[a-z]+)*>",
+        r"\[(?:[a-z]+_[a-z_]+)\]", r"&lt;\s*[a-z]+(?:_[a-z]+)*\s*&gt;", r"<(?!(?:p|b|i|u|a|br|hr|li|ul|ol|em|tt|td|tr|th|dl|dt|dd|div|pre|sub|sup|code|span|strong|small|table|body|html|head)\b)[a-z]+(?:_[a-z]+)*>",
         r"\[(?:price|owner|slogan|company|phone|city|address|date|name|title|text|email|url|image|logo|year|street|region|country)\]",
     ))
 )
@@ -43,9 +43,9 @@ FILLER = re.compile(
 MESSAGE = re.compile(
     r"\b(?:error|erreur|fehler|errore|fout|status|http)\s*:?\s*[45]\d\d\b|\b[45]\d\d\s+(?:not found|forbidden|error|bad|internal|service|gone|unavailable)|not found\b|access denied|permission to open|"
     r"does not exist on|no longer available|cannot be displayed|temporarily down|down for maintenance|internal (?:server )?(?:error|failure)|bad gateway|sent no reply|did not respond|"
-    r"must be logged in|sign in again|storage is full|connection was reset|virtual host|could not be verified|account has been suspended|session has expired|block list|security rule|redirect loop|too many (?:visitors|requests)|you are human|fatal error|application error|"
+    r"must be logged in|exception was thrown|unknown to this server|moved or was deleted|failed to open stream|warning: include|\bon line \d+|line \d+, file|parent directory|index of /|stack trace|sign in again|storage is full|connection was reset|virtual host|could not be verified|account has been suspended|session has expired|block list|security rule|redirect loop|too many (?:visitors|requests)|you are human|fatal error|application error|"
     r"link you followed|record you want was removed|has not paid for|no page has been added|enable javascript|javascript is required|without javascript|requires? javascript|scripts? (?:appear|are switched|is) |"
-    r"blocking scripts|active scripting|scripting is disabled|js is turned off|noscript|allow scripts|stops the code of|does not execute code|browser is too old|single page application|loaded dynamically|"
+    r"blocking scripts|switched off here|see a blank page|active scripting|scripting is disabled|js is turned off|noscript|allow scripts|stops the code of|does not execute code|browser is too old|single page application|loaded dynamically|"
     r"aktivieren sie javascript|ihr browser gerade sperrt|nicht gefunden|zugriff verweigert|wartungsarbeiten|wegen wartung|nicht erreichbar|serverproblem|ist abgelaufen|ein fehler aufgetreten|interner fehler|"
     r"activer javascript|votre navigateur bloque|introuvable\W*$|accès refusé|en maintenance, retour|problème interne|session a expiré|n'existe pas|"
     r"javascript para ver|navegador bloquea|no existe\W*$|acceso denegado|en mantenimiento, vuelva|error interno|sesión ha caducado|"
@@ -162,8 +162,11 @@ class Model:
             at += n
             plain = said[at - n : at] < UNSURE  # what is neither a message nor clearly content weighs for neither
             words_said = int(size[msg & ~fill].sum())
-            content = int(size[plain & ~fill & ~away].sum())
-            out[k] = bool(n and (fill.any() or words_said and words_said >= content or not (plain | away).any()))
+            apart = int(size[msg & ~fill & ~away].sum())  # a notice among furniture is no match for real content
+            real = plain & ~fill & ~away
+            content = int(size[real].sum())
+            prose = bool((real & (size >= 6)).any())
+            out[k] = bool(n and (fill.any() or words_said and (apart >= content or not prose) or not (plain | away).any()))
         return out
 
 
