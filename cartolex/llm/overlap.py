@@ -125,8 +125,11 @@ def text_classes(df: DataFrame, id_col: str, split_col: str, text_col: str, leas
     )
     rows = rows.where(F.size(F.split("norm", " ")) >= least_words)
     classes = rows.groupBy("norm").agg(F.min("rid").alias("cls"), F.bit_or("side").alias("side"))
-    members = rows.select("rid", "side", F.xxhash64("norm").alias("k1"), F.crc32("norm").alias("k2"), F.length("norm").alias("k3"))
-    return classes, members
+    return classes, rows.select("rid", "side", *_key())
+
+
+def _key() -> list:
+    return [F.xxhash64("norm").alias("k1"), F.crc32("norm").alias("k2"), F.length("norm").alias("k3")]
 
 
 def candidate_pairs(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -211,8 +214,9 @@ def cross_split_overlaps(
     )
     pairs = materialise(found.unionByName(same))
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
-    keys = classes.join(named, "cls", "left_semi").select("cls", F.xxhash64("norm").alias("k1"), F.crc32("norm").alias("k2"), F.length("norm").alias("k3"))
-    of = members.join(keys, ["k1", "k2", "k3"]).select("cls", "rid", F.col("side").alias("row_side"))
+    keys = classes.join(named, "cls", "left_semi").select("cls", *_key())
+    # Written once: both sides of the pairs are read from it, and the texts are normalised once more only.
+    of = materialise(members.join(keys, ["k1", "k2", "k3"]).select("cls", "rid", F.col("side").alias("row_side")))
     ta = of.where(F.col("row_side") == TRAIN).select(F.col("cls").alias("a"), F.col("rid").alias("train_id"))
     te = of.where(F.col("row_side") == EVAL).select(F.col("cls").alias("b"), F.col("rid").alias("eval_id"))
     return pairs.join(ta, "a").join(te, "b").select("train_id", "eval_id", "common", "either", F.col("words_a").alias("train_words"), F.col("words_b").alias("eval_words"))
