@@ -123,9 +123,10 @@ def text_classes(df: DataFrame, id_col: str, split_col: str, text_col: str, leas
     rows = df.select(F.col(id_col).alias("rid"), side.alias("side"), word_string(F.col(text_col)).alias("norm")).where(
         "side is not null and rid is not null and norm is not null"
     )
-    rows = rows.where(F.size(F.split("norm", " ")) >= least_words)
+    # Normalised once and written: classes read the texts, members the narrow keys beside them.
+    rows = materialise(rows.where(F.size(F.split("norm", " ")) >= least_words).select("rid", "side", "norm", *_key()))
     classes = rows.groupBy("norm").agg(F.min("rid").alias("cls"), F.bit_or("side").alias("side"))
-    return classes, rows.select("rid", "side", *_key())
+    return classes, rows.select("rid", "side", "k1", "k2", "k3")
 
 
 def _key() -> list:
@@ -215,7 +216,7 @@ def cross_split_overlaps(
     pairs = materialise(found.unionByName(same))
     named = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     keys = classes.join(named, "cls", "left_semi").select("cls", *_key())
-    # Written once: both sides of the pairs are read from it, and the texts are normalised once more only.
+    # Written once: both sides of the pairs are read from it.
     of = materialise(members.join(keys, ["k1", "k2", "k3"]).select("cls", "rid", F.col("side").alias("row_side")))
     ta = of.where(F.col("row_side") == TRAIN).select(F.col("cls").alias("a"), F.col("rid").alias("train_id"))
     te = of.where(F.col("row_side") == EVAL).select(F.col("cls").alias("b"), F.col("rid").alias("eval_id"))
