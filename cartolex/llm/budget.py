@@ -53,7 +53,8 @@ def slice_language(label: Column) -> Column:
 
 def domain(url: Column) -> Column:
     """Host of a url in lower case, without scheme, user, port and leading `www.`; '' where there is none."""
-    host = F.regexp_extract(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*:)?(?://)?(?:[^/@?#]*@)?([^/:?#\s]+)", 1)
+    rest = F.regexp_replace(F.lower(F.trim(url)), r"^(?:[a-z][a-z0-9+.-]*:)?//", "")
+    host = F.regexp_extract(rest, r"^(?:[^/@?#]*@)?([^/:?#\s]+)", 1)
     return F.coalesce(F.regexp_replace(host, r"^www\.", ""), F.lit(""))
 
 

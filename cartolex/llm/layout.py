@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 # --- HTML -------------------------------------------------------------------------------------------------------
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = frozenset("script style noscript template head svg iframe object select option".split())
+HIDDEN = frozenset("script style title noscript template head svg iframe object select option".split())
 BLOCK = frozenset(
     "address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )

@@ -183,7 +183,7 @@ class Tongues:
 
     def language(self, text: str) -> str | None:
         s, n, _ = self.scores([text])
-        return self.names[int(s[0].argmax())] if n[0] else None
+        return self.names[int(s[0].argmax())] if n[0] and self.names else None
 
     def read(self, texts: list[list[str]], least: int = 4, margin: float = 9.0) -> list[list[tuple[int, str, float]]]:
         """For each text (a list of segments): (segment, language, confidence) of every segment that has one.
@@ -198,7 +198,7 @@ class Tongues:
         for t in texts:
             sc, ch, wo = score[at : at + len(t)], chars[at : at + len(t)], words[at : at + len(t)]
             at += len(t)
-            if not ch.sum():
+            if not ch.sum() or not self.names:
                 out.append([])
                 continue
             best = sc.argmax(1)
