@@ -134,6 +134,30 @@ def _inside(point: np.ndarray, ring: np.ndarray) -> int:
     return 1 if (cross & hit).sum() % 2 else -1
 
 
+def _few_simple(p: list[tuple[float, float]]) -> bool:
+    """As `_simple` for a closed ring of few points without repeats, in plain arithmetic."""
+    n = len(p) - 1
+
+    def turn(a, b, c):
+        v = (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return (v > 0) - (v < 0)
+
+    for i in range(n):
+        a, b = p[i], p[i + 1]
+        c = p[(i + 2) % n]
+        if turn(a, b, c) == 0 and (b[0] - a[0]) * (c[0] - b[0]) + (b[1] - a[1]) * (c[1] - b[1]) < 0:
+            return False  # back along itself
+        for j in range(i + 2, n):
+            if i == 0 and j == n - 1:
+                continue
+            c, d = p[j], p[j + 1]
+            if max(a[0], b[0]) < min(c[0], d[0]) or max(c[0], d[0]) < min(a[0], b[0]) or max(a[1], b[1]) < min(c[1], d[1]) or max(c[1], d[1]) < min(a[1], b[1]):
+                continue
+            if turn(a, b, c) * turn(a, b, d) <= 0 and turn(c, d, a) * turn(c, d, b) <= 0:
+                return False
+    return True
+
+
 def _simple(ring: np.ndarray) -> bool:
     if len(ring) < 4 or not np.isfinite(ring).all() or (ring[0] != ring[-1]).any():
         return False
@@ -141,6 +165,8 @@ def _simple(ring: np.ndarray) -> bool:
     ring = ring[keep]
     if len(ring) < 4 or not abs(signed_area(ring)) > 0:
         return False
+    if len(ring) <= 24:
+        return _few_simple([tuple(x) for x in ring.tolist()])
     s, n = _segments(ring), len(ring) - 1
     for i, j, proper in _meetings(s, s):
         gap = (j - i) % n

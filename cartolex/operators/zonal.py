@@ -24,31 +24,37 @@ from ..functions.projection import authalic_q
 BLOCK = 256
 
 
-def block_coverage(edges: np.ndarray, height: int, width: int) -> np.ndarray:
-    """Share of every cell of a block that lies inside closed rings, given as edges (x0, y0, x1, y1) in cell units.
+def stacked_coverage(edges: np.ndarray, block: np.ndarray, heights: np.ndarray, width: int) -> np.ndarray:
+    """Share of every cell inside closed rings, for many blocks at once, one above the other.
 
-    Shells and holes must run in opposite directions; the sign of the whole does not matter.
+    `edges` are (x0, y0, x1, y1) in cells of the block that `block` names; a block has as many rows as `heights` says
+    and at most `width` columns. Shells and holes must run in opposite directions; the sign of a whole does not matter.
     """
-    out = np.zeros((height, width + 1))
-    e = edges[(edges[:, 1] != edges[:, 3]) & (np.maximum(edges[:, 1], edges[:, 3]) > 0) & (np.minimum(edges[:, 1], edges[:, 3]) < height)]
-    if not len(e):
+    base = np.concatenate(([0], np.cumsum(heights)))
+    out = np.zeros((int(base[-1]), width + 1))
+    tall = heights[block]
+    keep = (edges[:, 1] != edges[:, 3]) & (np.maximum(edges[:, 1], edges[:, 3]) > 0) & (np.minimum(edges[:, 1], edges[:, 3]) < tall)
+    keep &= np.minimum(edges[:, 0], edges[:, 2]) < width
+    x0, y0, x1, y1 = edges[keep].T
+    block, tall = block[keep], tall[keep]
+    if not len(x0):
         return out[:, :width]
-    # Cut the edges at the block's top and bottom.
-    x0, y0, x1, y1 = e.T
+    # Cut the edges at their block's top and bottom.
     slope = (x1 - x0) / (y1 - y0)
-    c0, c1 = np.clip(y0, 0, height), np.clip(y1, 0, height)
+    c0, c1 = np.clip(y0, 0, tall), np.clip(y1, 0, tall)
     x0, x1, y0, y1 = x0 + (c0 - y0) * slope, x0 + (c1 - y0) * slope, c0, c1
-    # Parameters of all crossings with grid lines between the ends of each edge.
-    def lines(a: np.ndarray, b: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
-        lo, hi = np.maximum(np.ceil(np.minimum(a, b)), low), np.minimum(np.floor(np.maximum(a, b)), high)
+
+    def lines(a: np.ndarray, b: np.ndarray, high: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Edge and parameter of every crossing with a grid line."""
+        lo, hi = np.maximum(np.ceil(np.minimum(a, b)), 0), np.minimum(np.floor(np.maximum(a, b)), high)
         n = np.maximum(0, hi - lo + 1).astype(np.int64)
         n[a == b] = 0
         who = np.repeat(np.arange(len(a)), n)
         step = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)
         return who, (lo[who] + step - a[who]) / (b - a)[who]
 
-    wy, ty = lines(y0, y1, 0, height)
-    wx, tx = lines(x0, x1, 0, width)
+    wy, ty = lines(y0, y1, tall)
+    wx, tx = lines(x0, x1, width)
     n = len(x0)
     who = np.concatenate((np.arange(n), np.arange(n), wy, wx))
     t = np.clip(np.concatenate((np.zeros(n), np.ones(n), ty, tx)), 0, 1)
@@ -59,13 +65,19 @@ def block_coverage(edges: np.ndarray, height: int, width: int) -> np.ndarray:
     dy = (y1 - y0)[k] * (tb - ta)
     tm = (ta + tb) / 2
     xm, ym = x0[k] + (x1 - x0)[k] * tm, y0[k] + (y1 - y0)[k] * tm
-    row = np.clip(np.floor(ym).astype(np.int64), 0, height - 1)
+    row = np.clip(np.floor(ym).astype(np.int64), 0, tall[k] - 1) + base[block[k]]
     col = np.clip(np.floor(xm), 0, width).astype(np.int64)
     share = np.clip(col + 1 - xm, 0, 1)  # of the cell to the right of the piece
-    np.add.at(out, (row, col), dy * share)
-    right = col + 1 <= width
-    np.add.at(out, (row[right], col[right] + 1), (dy * (1 - share))[right])
-    return np.abs(np.cumsum(out, axis=1)[:, :width])
+    flat = np.concatenate((row * (width + 1) + col, (row * (width + 1) + col + 1)[col < width]))
+    gain = np.concatenate((dy * share, (dy * (1 - share))[col < width]))
+    out = np.bincount(flat, weights=gain, minlength=out.size).reshape(out.shape)
+    np.cumsum(out, axis=1, out=out)
+    return np.abs(out[:, :width])
+
+
+def block_coverage(edges: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Share of every cell of one block that lies inside closed rings."""
+    return stacked_coverage(edges, np.zeros(len(edges), np.int64), np.array([height]), width)
 
 
 def ring_edges(rings: geo.Rings) -> np.ndarray:
@@ -95,46 +107,76 @@ def polygon_blocks(polygons: DataFrame, grids: DataFrame, key: str = "polygon_id
     return on.where(inside).withColumn("brow", F.explode(rows)).withColumn("bcol", F.explode(cols)).select("pid", "g", "area", "tile", "x0", "y0", "dx", "dy", F.col("brow").cast("int").alias("brow"), F.col("bcol").cast("int").alias("bcol"))
 
 
-def _cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (pid, area, tile, code, row, cells): cells of each class by raster row, exact at the outline."""
-    known: dict[str, np.ndarray] = {}
-    for b in batches:
-        got: list[tuple] = []
-        for r in b.to_pylist():
-            edges = known.get(r["g"])
-            if edges is None:
-                if len(known) > 2000:
+#: Cells that one call of the kernel takes.
+CELLS_AT_ONCE = 1 << 21
+
+
+def _cover(by_row: bool):
+    """Rows (pid, area, tile, code, row, cells, y0, dx, dy): cells of each class, by raster row or by block; exact at the outline."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, np.ndarray] = {}
+        for b in batches:
+            g = b.column("g").to_pylist()
+            for x in set(g) - known.keys():
+                if len(known) > 5000:
                     known.clear()
-                edges = known[r["g"]] = ring_edges(geo.from_geojson(r["g"]))
-            h, w = r["height"], r["width"]
-            x = (edges[:, (0, 2)] - r["x0"]) / r["dx"] - r["bcol"] * BLOCK
-            y = (r["y0"] - edges[:, (1, 3)]) / r["dy"] - r["brow"] * BLOCK
-            cover = block_coverage(np.column_stack((x[:, 0], y[:, 0], x[:, 1], y[:, 1])), h, w)
-            codes = np.frombuffer(r["codes"], np.uint8).reshape(h, w)
-            i, j = np.nonzero(cover > 1e-12)
-            if not len(i):
-                continue
-            key = i * 256 + codes[i, j]
-            sums = np.bincount(key, weights=cover[i, j])
-            for k in np.flatnonzero(sums):
-                got.append((r["pid"], r["area"], r["tile"], int(k % 256), int(k // 256) + r["brow"] * BLOCK, float(sums[k]), r["y0"], r["dx"], r["dy"]))
-        cols = list(zip(*got)) or [[]] * 9
-        kinds = (b.schema.field("pid").type, pa.float64(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.float64())
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], ["pid", "area", "tile", "code", "row", "cells", "y0", "dx", "dy"])
-
-
-def covered_rows(blocks: DataFrame, raster: DataFrame) -> DataFrame:
-    """(pid, area, tile, code, row, cells, y0, dx, dy): `raster` has tile, brow, bcol, height, width, codes (bytes by row)."""
+                known[x] = ring_edges(geo.from_geojson(x))
+            num = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "dx", "dy", "brow", "bcol", "height", "width")}
+            facts = b.select(["pid", "area", "tile", "y0", "dx", "dy"])
+            size = num["height"].astype(np.int64) * int(num["width"].max(initial=1))
+            group = np.cumsum(size) // CELLS_AT_ONCE
+            for k in np.unique(group):
+                at = np.flatnonzero(group == k)
+                for x in {g[i] for i in at} - known.keys():  # dropped above
+                    known[x] = ring_edges(geo.from_geojson(x))
+                parts = [known[g[i]] for i in at]
+                block = np.repeat(np.arange(len(at)), [len(p) for p in parts])
+                of = at[block]
+                e = np.concatenate(parts)
+                local = np.empty_like(e)
+                local[:, 0::2] = (e[:, 0::2] - num["x0"][of][:, None]) / num["dx"][of][:, None] - (num["bcol"][of] * BLOCK)[:, None]
+                local[:, 1::2] = (num["y0"][of][:, None] - e[:, 1::2]) / num["dy"][of][:, None] - (num["brow"][of] * BLOCK)[:, None]
+                h, w = num["height"][at].astype(np.int64), num["width"][at].astype(np.int64)
+                wide = int(w.max())
+                cover = stacked_coverage(local, block, h, wide)
+                codes = np.zeros(cover.shape, np.uint8)
+                first = np.concatenate(([0], np.cumsum(h)))
+                for j, i in enumerate(at):
+                    codes[first[j] : first[j + 1], : w[j]] = np.frombuffer(b.column("codes")[int(i)].as_buffer(), np.uint8).reshape(h[j], w[j])
+                    if w[j] < wide:
+                        cover[first[j] : first[j + 1], w[j] :] = 0
+                owner = np.arange(len(cover)) if by_row else np.repeat(np.arange(len(at)), h)
+                key = (owner * 256)[:, None] + codes
+                sums = np.bincount(key.ravel(), weights=cover.ravel())
+                got = np.flatnonzero(sums > 1e-12)
+                who = got // 256
+                of_block = np.searchsorted(first, who, side="right") - 1 if by_row else who
+                row = num["brow"][at][of_block] * BLOCK + (who - first[of_block] if by_row else 0)
+                took = facts.take(pa.array(at[of_block], pa.int64()))
+                yield pa.record_batch(
+                    [took.column("pid"), took.column("area"), took.column("tile"), pa.array(got % 256, pa.int32()), pa.array(row, pa.int32()), pa.array(sums[got], pa.float64()), took.column("y0"), took.column("dx"), took.column("dy")],
+                    ["pid", "area", "tile", "code", "row", "cells", "y0", "dx", "dy"],
+                )
+
+    return run
+
+
+def covered_rows(blocks: DataFrame, raster: DataFrame, by_row: bool = True) -> DataFrame:
+    """(pid, area, tile, code, row, cells, y0, dx, dy): `raster` has tile, brow, bcol, height, width, codes (bytes by row).
+
+    Without `by_row` the cells of a block come as one number per class and `row` is the block's first row.
+    """
     rows = blocks.join(raster, ["tile", "brow", "bcol"])
     kind = blocks.schema["pid"].dataType.simpleString()
     return rows.select("pid", "g", "area", "tile", "x0", "y0", "dx", "dy", "brow", "bcol", "height", "width", "codes").mapInArrow(
-        _cover, f"pid {kind}, area double, tile string, code int, row int, cells double, y0 double, dx double, dy double"
+        _cover(by_row), f"pid {kind}, area double, tile string, code int, row int, cells double, y0 double, dx double, dy double"
     )
 
 
 def zonal_coverage(polygons: DataFrame, grids: DataFrame, raster: DataFrame, key: str = "polygon_id", geometry: str = "geometry", nodata: int = 0) -> DataFrame:
     """(key, code, share): the share of each polygon that a class covers, in the raster's own plane; only shares above 0."""
-    rows = covered_rows(polygon_blocks(polygons, grids, key, geometry), raster).where(F.col("code") != nodata)
+    rows = covered_rows(polygon_blocks(polygons, grids, key, geometry), raster, by_row=False).where(F.col("code") != nodata)
     by = rows.groupBy("pid", "code").agg(F.sum(F.col("cells") * F.col("dx") * F.col("dy") / F.col("area")).alias("share"))
     return by.where("share > 0").select(F.col("pid").alias(key), "code", "share")
 
