@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.runtime import spread
+
 # --- HTML -------------------------------------------------------------------------------------------------------
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -248,7 +250,7 @@ def furniture_lines(df: DataFrame, id_col: str = "page_id", columns: tuple[tuple
     Null ids, texts and statuses give no row; a text without lines, or an empty table, gives none; repeated rows give
     repeated lines. One pass, no shuffle.
     """
-    return _texts(df, id_col, columns).select("page", "col", "text").mapInArrow(_find, "page_id long, col_name string, line_no long")
+    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_find, "page_id long, col_name string, line_no long")
 
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,4 +260,4 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bodies(df: DataFrame, id_col: str = "page_id", columns: tuple[tuple[str, str], ...] = COLUMNS) -> DataFrame:
     """(page_id, col_name, body): the main body of every text of status `success`; '' where there is none. HTML is rendered first."""
-    return _texts(df, id_col, columns).select("page", "col", "text").mapInArrow(_bodies, "page_id long, col_name string, body string")
+    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_bodies, "page_id long, col_name string, body string")

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.runtime import spread
 from ..functions.words import word_string
 
 BITS = 22
@@ -215,7 +216,7 @@ def leaked(
     if len(rows) > most:
         raise ValueError(f"more than {most} items; raise blocks_most for more passes")
     known = sorted((r["i"], r["t"]) for r in rows)
-    docs = documents.select(F.col(doc_col).cast("long").alias("doc"), word_string(F.col(text_col)).alias("norm")).where("doc is not null and norm != ''")
+    docs = spread(documents.select(F.col(doc_col).cast("long").alias("doc"), word_string(F.col(text_col)).alias("norm")).where("doc is not null and norm != ''"))
     schema, out = "doc_id long, item_id long, size long, edits long", None
     for k in range(0, max(1, len(known)), block):
         part = docs.mapInArrow(_scan(ItemIndex(known[k : k + block], words, 0 if exact else edits), exact), schema)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.runtime import spread
 from .layout import HOST, furniture
 from .linear import Hasher, fit, scores
 
@@ -31,6 +32,8 @@ SLOT = re.compile(
         r"\[(?:price|owner|slogan|company|phone|city|address|date|name|title|text|email|url|image|logo|year|street|region|country)\]",
     ))
 )
+#: Signs of which every slot has one.
+SIGNS = frozenset("{[<%_*@#(:&") | {"O"}
 # Phrases of filler copy.
 FILLER = re.compile(
     r"lorem ipsum|dolor sit amet|placeholder|edit this block|your text (?:goes )?here|sample (?:paragraph|text|page|heading)|dummy (?:text|paragraph)|"
@@ -55,9 +58,13 @@ MESSAGE = re.compile(
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 FLAGS = ("slot", "filler phrase", "message phrase", "repeated word", "first line", "unended", "few words", "many words", "names a host", "digits only")
 #: Rows that the classifiers are fitted on at most, and words of content from which a page is taken for a real one.
-FIT_ROWS, REAL = 6_000, 60
+FIT_ROWS, REAL = 4_000, 60
+#: Sentences of content among them that are fitted at most, evenly picked.
+FIT_CONTENT = 15_000
 #: Score of the message classifier under which a sentence is clearly content.
 UNSURE = -1.5
+#: Score of the filler classifier from which one sentence makes its page a case.
+FILLED = 1.0
 
 
 def _repeated(words: list[str]) -> bool:
@@ -78,13 +85,15 @@ def sentences(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
             words = low.split()
             if not words:
                 continue
-            message = bool(MESSAGE.search(low))
-            if away and not message and not SLOT.search(s) and not FILLER.search(low):
+            message, filler = bool(MESSAGE.search(low)), bool(FILLER.search(low))
+            slot = not SIGNS.isdisjoint(s) and bool(SLOT.search(s))
+            if away and not (message or slot or filler):
                 continue
-            out.append(HOST.sub("host", s))
+            host = "." in s[:-1] and bool(HOST.search(s))
+            out.append(HOST.sub("host", s) if host else s)
             flags.append((
-                bool(SLOT.search(s)), bool(FILLER.search(low)), message, _repeated(words), first, not s[-1] in ".!?…", len(words) <= 4,
-                len(words) >= 9, bool(HOST.search(s)), not any(c.isalpha() for c in s),
+                slot, filler, message, _repeated(words), first, not s[-1] in ".!?…", len(words) <= 4,
+                len(words) >= 9, host, not any(c.isalpha() for c in s),
             ))
             side.append(away)
         first = False
@@ -134,6 +143,8 @@ class Model:
         for k, found in enumerate((fillers, said)):
             y = np.concatenate(found) if found else np.zeros(0, int)
             at = np.flatnonzero(y >= 0)
+            many = at[y[at] == 0]
+            at = np.sort(np.concatenate((at[y[at] == 1], many[:: 1 + len(many) // FIT_CONTENT])))
             prior = np.zeros(self.hasher.width)
             base = 1 << self.hasher.bits
             # What the shapes and phrases say holds until the sample says otherwise.
@@ -158,7 +169,7 @@ class Model:
         for k, (s, f, away) in enumerate(parts):
             n = len(s)
             size = np.array([len(t.split()) for t in s])
-            fill, msg = filler[at : at + n] > 0, said[at : at + n] > 0
+            fill, msg = filler[at : at + n] > FILLED, said[at : at + n] > 0
             at += n
             plain = said[at - n : at] < UNSURE  # what is neither a message nor clearly content weighs for neither
             words_said = int(size[msg & ~fill].sum())
@@ -199,4 +210,4 @@ def residue_pages(df: DataFrame, id_col: str = "page_id", text_col: str = "websi
     """
     model = model or fitted(df, id_col, text_col, status_col)
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(status_col).alias("s")).where("id is not null and text is not null and s = 'success'")
-    return rows.select("id", "text").mapInArrow(_pick(model), "id long").withColumnRenamed("id", id_col)
+    return spread(rows.select("id", "text")).mapInArrow(_pick(model), "id long").withColumnRenamed("id", id_col)

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.runtime import spread
+
 # Function words of the languages of the texts.
 FUNCTION = frozenset(
     " ".join((
@@ -186,4 +188,4 @@ def stuffed_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeated. Whole texts are read; nothing is shuffled.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return rows.mapInArrow(_find(share, least), "id long, spam_words long, words long").withColumnRenamed("id", id_col)
+    return spread(rows).mapInArrow(_find(share, least), "id long, spam_words long, words long").withColumnRenamed("id", id_col)

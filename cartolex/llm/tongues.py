@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.runtime import spread
 from . import residue
 from .layout import furniture
 
@@ -267,7 +268,7 @@ SCHEMA = "tab_name string, row_id long, lang string"
 
 def _texts(df: DataFrame, id_col: str, label_col: str, text_col: str) -> DataFrame:
     rows = df.select(F.col(id_col).cast("long").alias("id"), label_language(F.col(label_col)).alias("label"), F.col(text_col).alias("text"))
-    return rows.where("id is not null and text is not null")
+    return spread(rows.where("id is not null and text is not null"))
 
 
 def mislabelled(df: DataFrame, model: Tongues, name: str, id_col: str = "example_id", label_col: str = "language", text_col: str = "text") -> DataFrame:
@@ -302,4 +303,4 @@ def _read(model: Tongues):
 def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text") -> DataFrame:
     """(id, segment_no, segment, lang, confidence): every segment with letters, its language and how sure that is."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return rows.mapInArrow(_read(model), "id long, segment_no int, segment string, lang string, confidence double")
+    return spread(rows).mapInArrow(_read(model), "id long, segment_no int, segment string, lang string, confidence double")
