@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import spread
+
 Rings = list[list[np.ndarray]]
 
 
@@ -235,4 +237,4 @@ def measures(df: DataFrame, key: str = "polygon_id", geometry: str = "geometry",
     """
     rows = df.select(F.col(key).alias("key"), F.col(geometry).alias("geometry"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(_measure(kind, from_wkb if wkb else from_geojson), f"key {kind}, {MEASURES}").withColumnRenamed("key", key)
+    return spread(rows).mapInArrow(_measure(kind, from_wkb if wkb else from_geojson), f"key {kind}, {MEASURES}").withColumnRenamed("key", key)

@@ -35,5 +35,19 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Estimated bytes of input under which a table is taken to lie in fewer parts than there are cores.
+SMALL_INPUT = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in as many parts as there are cores, where it is so small that it lies in one or two files.
+
+    For steps whose work is in Python: a larger table has parts enough of its own and is left as it is.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(spark.sparkContext.defaultParallelism) if size < SMALL_INPUT else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
