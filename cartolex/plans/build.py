@@ -1,0 +1,69 @@
+"""From polygons, links, documents and rasters to a release: all regions in one job, the region a column."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import geometry as geo
+from ..functions.runtime import materialise
+from ..functions.splits import assign_split, cell_for, unit_hash
+from ..operators import examples, labels, zonal
+from ..schema import AREA_CAP_M2, MIN_WORDS, SPLITS, THRESHOLD
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What decides the rows of a release."""
+
+    threshold: float = THRESHOLD
+    least_words: int = MIN_WORDS
+    area_cap_m2: float | None = AREA_CAP_M2
+    resolution: int = 5
+    splits: tuple[tuple[str, float], ...] = SPLITS
+    dataset_version: str = "1"
+    source_dataset: str = ""
+    source_revision: str = ""
+    worldcover_version: str = "v200"
+    worldcover_year: int = 2021
+
+
+def label_polygons(polygons: DataFrame, grids: DataFrame, raster: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """(labelled, verdicts): polygons with a dominant class, and the verdict of every polygon with its reason.
+
+    The area cap is applied before any raster block is joined. An unusable geometry is `invalid`; a polygon without
+    any published tile, or of no-data only, has `no_valid_class`. Rows of equal id are one polygon.
+    """
+    one = polygons.where("polygon_id is not null").dropDuplicates(["polygon_id"])
+    usable = geo.measures(one).select("polygon_id", "usable")
+    capped = labels.within_area_cap(F.col("area_m2"), settings.area_cap_m2)
+    screened = materialise(one.join(usable, "polygon_id").withColumn("screen", F.when(~F.col("usable"), "invalid").when(~capped, "too_large")))
+    fit = screened.where("screen is null")
+    cover = zonal.zonal_coverage(fit.select("polygon_id", "geometry"), grids, raster)
+    decided = labels.dominance(cover.withColumns({"area": F.col("share"), "polygon_area": F.lit(1.0)}), threshold=settings.threshold)
+    all_ = screened.select("polygon_id", "screen").join(decided, "polygon_id", "left")
+    verdicts = all_.select(
+        "polygon_id", F.coalesce("accepted", F.lit(False)).alias("accepted"), "code", F.coalesce("fraction", F.lit(0.0)).alias("fraction"), F.coalesce("observed", F.lit(0.0)).alias("observed"),
+        F.coalesce("screen", "reason", F.when(F.col("accepted").isNull(), "no_valid_class")).alias("reason"),
+    )
+    won = decided.where("accepted").select("polygon_id", F.col("code").cast("long").alias("worldcover_code"), F.col("fraction").alias("dominant_fraction"), F.col("observed").alias("observed_fraction"))
+    return fit.drop("usable", "screen").join(won, "polygon_id"), verdicts
+
+
+def enrich(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Examples with their cell, split and provenance."""
+    cell = cell_for(F.col("lat"), F.col("lon"), settings.resolution)
+    out = rows.withColumn("h3_cell", cell).withColumn("split", assign_split(unit_hash(F.col("h3_cell")), settings.splits))
+    named = {k: F.lit(getattr(settings, k)) for k in ("dataset_version", "source_dataset", "source_revision", "worldcover_version")}
+    return out.withColumns({**named, "worldcover_year": F.lit(settings.worldcover_year).cast("long")})
+
+
+def build_examples(polygons: DataFrame, links: DataFrame, documents: DataFrame, grids: DataFrame, raster: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """(examples, outcomes): rows of a release before the global pass, and one row of counts per region."""
+    labelled, verdicts = label_polygons(polygons, grids, raster, settings)
+    labelled, verdicts = materialise(labelled), materialise(verdicts)
+    rows = enrich(examples.to_examples(labelled, links, documents, settings.least_words), settings)
+    staged = examples.staged(labelled.select("polygon_id", "region"), links, documents, settings.least_words)
+    return rows, examples.region_outcomes(polygons, verdicts, staged)
