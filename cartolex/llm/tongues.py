@@ -224,7 +224,7 @@ def samples(df: DataFrame, text_col: str = "text", label_col: str = "language",
     order = Window.partitionBy("l").orderBy(F.xxhash64("t"), "t")
     out: dict[str, list[str]] = {}
     for r in rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("l", "t").collect():
-        out.setdefault(r["l"], []).append(r["t"][:4000])
+        out.setdefault(r["l"], []).append(r["t"])
     return out
 
 
