@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.runtime import materialise
 from ..functions.text import dedup_key, normalise
 
 
@@ -45,16 +46,31 @@ def document_home(rows: DataFrame) -> DataFrame:
 
 
 def chain(rows: DataFrame) -> dict[str, DataFrame]:
-    """The steps by name: home, objects, examples, kept."""
-    home = home_region(rows)
-    objects = with_key(dedup_objects(home))
+    """The steps by name: home, objects, examples, kept.
+
+    The key is computed where rows are read, so that steps which need no text move its digest instead.
+    """
+    home = home_region(with_key(rows))
+    objects = dedup_objects(home)
     examples = dedup_examples(objects)
     return {"home": home, "objects": objects, "examples": examples, "kept": document_home(examples)}
 
 
+NARROW = ("example_id", "osm_type", "osm_id", "region", "polygon_id", "document_id", "dedup_key", "split")
+
+
+def kept_ids(rows: DataFrame) -> DataFrame:
+    """(example_id) of the rows that all steps keep: only narrow rows are shuffled by the steps."""
+    narrow = with_key(rows).select(*NARROW)
+    return document_home(dedup_examples(dedup_objects(home_region(narrow)))).select("example_id")
+
+
 def stats(rows: DataFrame) -> DataFrame:
-    """(step, rows_kept) of every step."""
-    steps = {"input": rows, **chain(rows)}
+    """(step, rows_kept) of every step; each step is written once and counted from there."""
+    home = materialise(home_region(with_key(rows).select(*NARROW)))
+    objects = materialise(dedup_objects(home))
+    examples = materialise(dedup_examples(objects))
+    steps = {"input": rows, "home": home, "objects": objects, "examples": examples, "kept": document_home(examples)}
     out = None
     for name, df in steps.items():
         one = df.agg(F.count("*").alias("rows_kept")).select(F.lit(name).alias("step"), "rows_kept")

@@ -58,8 +58,8 @@ def manifest(kept: DataFrame) -> dict:
 
 def build(spark: SparkSession, rows: DataFrame, folder: str) -> dict:
     """The whole global pass: deduplicate, keep documents in one split, write ordered splits and the manifest, validate."""
-    steps = dedup.chain(rows)
-    kept = materialise(steps["kept"])
+    ids = materialise(dedup.kept_ids(rows))
+    kept = materialise(rows.join(ids, "example_id", "left_semi"))
     write_splits(kept, folder)
     out = manifest(kept)
     out["violations"] = {r["code"]: r["n"] for r in checks.report(checks.release_violations(kept)).collect()}
