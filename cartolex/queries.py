@@ -708,12 +708,15 @@ def cea_area(s: SparkSession, d: str) -> DataFrame:
     return b.select("polygon_id", F.round(projection.box_area_m2(F.col("w"), F.col("s"), F.col("e"), F.col("n")) / 1e6, 1).alias("km2"))
 
 
-@query()
+K0 = "(cos(radians(30.0::DOUBLE)) / sqrt(1 - 0.0066943799901413165 * pow(sin(radians(30.0::DOUBLE)), 2)))"
+
+
+@query(f"WITH {BOXED} SELECT polygon_id, round(radians(w) * 6378137.0::DOUBLE * {K0}, 1) AS x, round({Q.format('(s + dy)')} * 6378137.0::DOUBLE / (2 * {K0}), 1) AS y FROM boxed")
 def cea_bound(s: SparkSession, d: str) -> DataFrame:
-    """Projected corners of boxes and how far the chord of a parallel's middle lies from its curve in metres (none: both are straight here)."""
+    """Projected north-west corners of boxes in metres."""
     b = _boxes(s, d)
     x, y = projection.project(F.col("n"), F.col("w"))
-    return b.select("polygon_id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+    return b.select("polygon_id", F.round(x, 1).alias("x"), F.round(y, 1).alias("y"))
 
 
 RATIO = "least(greatest((dominant_fraction - 0.01::DOUBLE) / (observed_fraction + 0.01::DOUBLE), 0.0::DOUBLE), 1e9::DOUBLE)"
