@@ -51,8 +51,12 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
-    rows = read_table(spark, sf, "release_rows")
-    return tongues.segment_languages(rows, tongues.Tongues(tongues.samples(rows)))
+    """Every text of the release and of the website, and every segment of it; a text's own row has no segment_no."""
+    rows, pages = read_table(spark, sf, "release_rows"), read_table(spark, sf, "website")
+    model = tongues.Tongues(tongues.samples(rows))
+    found = tongues.segment_languages(rows, model, whole=True).withColumn("tab_name", F.lit("release_rows"))
+    of_pages = tongues.segment_languages(pages, model, "page_id", "website_text", whole=True, pages=True).withColumn("tab_name", F.lit("website"))
+    return found.unionByName(of_pages).select("tab_name", F.col("id").alias("row_id"), "segment_no", "segment", "lang", "confidence")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -173,25 +173,34 @@ class Tongues:
         return out, np.array([sum(map(len, s)) + len(s) for s in split]), count
 
     def _calibrate(self, held: dict[str, list[str]]) -> None:
-        """Per language: the cross-entropy per character beyond which a text is none of the language."""
-        self.most = np.full(len(self.names), np.inf)
+        """Per language: the cross-entropy per character beyond which a text is none of the language.
+
+        A language with fewer than five texts held out takes the limit of all held-out texts together.
+        """
+        own = {}
         for j, name in enumerate(self.names):
             if held.get(name):
                 s, n, _ = self.scores(held[name])
-                x = -s[:, j] / np.maximum(1, n)
-                if len(x) >= 5:
-                    self.most[j] = x.mean() + max(8 * x.std(), 1.0)
+                own[j] = -s[:, j] / np.maximum(1, n)
+        every = np.concatenate(list(own.values())) if own else np.zeros(0)
+        self.most = np.full(len(self.names), np.inf)
+        for j in range(len(self.names)):
+            x = own[j] if len(own.get(j, ())) >= 5 else every
+            if len(x) >= 5:
+                self.most[j] = x.mean() + max(8 * x.std(), 1.0)
 
     def language(self, text: str) -> str | None:
         s, n, _ = self.scores([text])
         return self.names[int(s[0].argmax())] if n[0] and self.names else None
 
     def read(self, texts: list[list[str]], least: int = 4, margin: float = 9.0) -> list[list[tuple[int, str, float]]]:
-        """For each text (a list of segments): (segment, language, confidence) of every segment that has one.
+        """For each text (a list of segments): (segment, language, confidence) of every segment that has letters.
 
         A segment is clear where its language beats every other by `margin` (the logarithm of how much more probable it
         is), with `least` words or a dozen letters, and fits that language's model. Other segments take the most probable
-        of the languages of clear ones; a text without any takes the language of the whole.
+        of the languages of clear ones; a text without any takes the language of the whole. A segment
+        beyond the calibrated limit of the language it gets is rejected: that language is no more than the nearest one, and the
+        confidence is under a half, the lower the further the segment is beyond the limit.
         """
         flat = [s for t in texts for s in t]
         score, chars, words = self.scores(flat)
@@ -213,7 +222,9 @@ class Tongues:
             for k in np.flatnonzero(ch):
                 j = int(there[sc[k, there].argmax()])
                 gap = sc[k, j] - np.delete(sc[k], j).max() if len(self.names) > 1 else 50.0
-                found.append((int(k), self.names[j], float(1 / (1 + np.exp(-np.clip(gap, -50, 50))))))
+                sure = float(1 / (1 + np.exp(-np.clip(gap, -50, 50))))
+                beyond = -sc[k, j] / ch[k] - self.most[j]
+                found.append((int(k), self.names[j], sure if beyond <= 0 else min(sure, 0.5 * float(np.exp(-beyond)))))
             out.append(found)
         return out
 
@@ -288,19 +299,45 @@ def mislabelled_pages(
     return _texts(df.where(F.col(status_col) == "success"), id_col, label_col, text_col).mapInArrow(_rows(model, skip, name), SCHEMA)
 
 
-def _read(model: Tongues):
+def _whole(split: list[str], found: list[tuple[int, str, float]], body: list[bool]) -> tuple[str | None, float]:
+    """The language in which most letters of a text's body are written, and its share of them by confidence; of all lines where there is no body."""
+    size = {k: sum(map(len, WORDS.findall(split[k]))) for k, _, _ in found}
+    kept = [x for x in found if body[x[0]]] or found
+    weight: Counter[str] = Counter()
+    for k, lang, _ in kept:
+        weight[lang] += size[k]
+    if not weight:
+        return None, 0.0
+    lang = weight.most_common(1)[0][0]
+    return lang, sum(size[k] * c for k, x, c in kept if x == lang) / max(1, sum(size[k] for k, _, _ in kept))
+
+
+def _read(model: Tongues, whole: bool, pages: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("id").to_pylist()
-            split = [segments(t) for t in b.column("text").to_pylist()]
-            rows = [(i, k, s[k], lang, conf) for i, s, found in zip(ids, split, model.read(split)) for k, lang, conf in found]
+            ids, texts = b.column("id").to_pylist(), b.column("text").to_pylist()
+            split, bodies = [segments(t) for t in texts], []
+            if pages:  # by lines, as furniture is told by lines
+                lines = [[(segments(x), f) for x, f in zip(t.split("\n"), furniture(t))] for t in texts]
+                split = [[s for x, _ in ls for s in x] for ls in lines]
+                bodies = [[not f for x, f in ls for _ in x] for ls in lines]
+            rows: list[tuple[int, int | None, str | None, str | None, float]] = []
+            for t, (i, s, found) in enumerate(zip(ids, split, model.read(split))):
+                if whole:
+                    rows.append((i, None, None, *_whole(s, found, bodies[t] if pages else [True] * len(s))))
+                rows += [(i, k, s[k], lang, conf) for k, lang, conf in found]
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.float64())], ["id", "segment_no", "segment", "lang", "confidence"])
 
     return run
 
 
-def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text") -> DataFrame:
-    """(id, segment_no, segment, lang, confidence): every segment with letters, its language and how sure that is."""
+def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text", whole: bool = False, pages: bool = False) -> DataFrame:
+    """(id, segment_no, segment, lang, confidence): every segment with letters, its language and how sure that is.
+
+    A segment that no language fits has a confidence under a half. With `whole` each text that is not null has a row of
+    its own besides, whose segment_no and segment are null; that of `pages` goes by the main body. A text without letters
+    has language null and confidence 0.
+    """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return spread(rows).mapInArrow(_read(model), "id long, segment_no int, segment string, lang string, confidence double")
+    return spread(rows).mapInArrow(_read(model, whole, pages), "id long, segment_no int, segment string, lang string, confidence double")

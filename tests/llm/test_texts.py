@@ -156,6 +156,29 @@ def test_mislabelled_rows(spark, releases, model):
     assert tongues.Tongues({}).read([["some text"]]) is not None
 
 
+CZECH = "Malá chalupa stojí na kraji vesnice u lesa. Děti si hrají na louce a večer se vracejí domů k babičce."
+
+
+def test_unknown_language_is_rejected(spark, model):
+    df = spark.createDataFrame([(1, CZECH), (2, "123")], "example_id long, text string")
+    got = tongues.segment_languages(df, model, whole=True).collect()
+    assert sorted((r["id"], r["segment_no"]) for r in got if r["segment_no"] is not None) == [(1, 0), (1, 1)]
+    assert sorted(r["id"] for r in got if r["segment_no"] is None) == [1, 2]
+    assert all(r["confidence"] < 0.2 for r in got)
+    assert max(model.most) < float("inf")
+
+
+def test_segments_of_all_texts(spark):
+    from cartolex.llm.queries import p5_segments
+
+    got = p5_segments(spark, str(SF01)).collect()
+    for name, id_col, col in (("release_rows", "example_id", "text"), ("website", "page_id", "website_text")):
+        ids = sorted(r[0] for r in spark.read.parquet(f"{SF01}/{name}.parquet").where(f"{col} is not null").select(id_col).collect())
+        assert sorted(r["row_id"] for r in got if r["tab_name"] == name and r["segment_no"] is None) == ids
+        assert any(r["tab_name"] == name and r["segment_no"] is not None for r in got)
+    assert all(0 <= r["confidence"] <= 1 and (r["lang"] is not None or r["confidence"] == 0) for r in got)
+
+
 # --- problem 10 --------------------------------------------------------------------------------------------------
 
 ARTICLE = "The path from Alton to Belham crosses the old moor and passes twelve kilns. In Alton people still feed the ducks beside the mill. It takes seven minutes to walk from Alton to the dune. Schools from Alton come here to fly a kite. "
