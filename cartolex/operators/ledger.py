@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of a file that a task holds at once.
+CHUNK = 1 << 20
+
 
 def gaps(expected: DataFrame, processed: DataFrame, key: str = "stem") -> DataFrame:
     """Expected keys that were not processed."""
@@ -39,3 +47,30 @@ def reconcile(outcomes: DataFrame) -> DataFrame:
 def provenance_groups(rows: DataFrame, revision: str = "revision", key: str = "stem") -> DataFrame:
     """(revision, stems): sorted keys by revision."""
     return rows.select(revision, key).distinct().groupBy(revision).agg(F.array_sort(F.collect_list(key)).alias("stems"))
+
+
+def _sha256(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for path in b.column("full").to_pylist():
+            scheme, rest = path.split(":", 1)
+            system, at = (fs.LocalFileSystem(), "/" + rest.lstrip("/")) if scheme == "file" else fs.FileSystem.from_uri(path)
+            h = hashlib.sha256()
+            with system.open_input_stream(at, compression=None) as f:
+                while chunk := f.read(CHUNK):
+                    h.update(chunk)
+            out.append(h.hexdigest())
+        yield pa.record_batch({"path": b.column("path"), "length": b.column("length"), "sha256": pa.array(out, pa.string())})
+
+
+def file_digests(spark: SparkSession, folder: str, names: str = "*.parquet") -> DataFrame:
+    """(path, length, sha256): every file under `folder` whose name matches, by its path in the folder.
+
+    Contents stream through the hash in chunks, so a file may be larger than a cell or a task's memory; each file is
+    read by one task.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()
+    found = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(folder)
+    paths = found.select(F.col("path").alias("full"), F.expr(f"substring(path, {len(root.rstrip('/')) + 2})").alias("path"), "length")
+    return paths.mapInArrow(_sha256, "path string, length long, sha256 string")

@@ -116,3 +116,19 @@ def test_ledger(spark):
     assert tuple(ledger.equal(a, b).first()) == (2, 1, False)
     maps = spark.createDataFrame([({"x": 1},), ({"x": 2, "y": 3},)], "m map<string,int>")
     assert {r["reason"]: r["n"] for r in ledger.merge_counts(maps, "m").collect()} == {"x": 3, "y": 3}
+
+
+def test_every_file_has_a_digest(spark, sf, tmp_path):
+    import hashlib
+    from pathlib import Path
+
+    from cartolex.queries import file_sha256
+
+    got = {r["file"]: (r["length"], r["sha256"]) for r in file_sha256(spark, sf).collect()}
+    files = {str(p.relative_to(sf)): p.read_bytes() for p in Path(sf).rglob("*.parquet") if p.is_file()}
+    assert got == {k: (len(x), hashlib.sha256(x).hexdigest()) for k, x in files.items()}
+    (tmp_path / "t a.parquet").mkdir()
+    (tmp_path / "t a.parquet" / "part%20 0.parquet").write_bytes(b"x" * 3_000_000)
+    (tmp_path / "other.txt").write_bytes(b"y")
+    rows = [(r["file"], r["length"], r["sha256"]) for r in file_sha256(spark, str(tmp_path)).collect()]
+    assert rows == [("t a.parquet/part%20 0.parquet", 3_000_000, hashlib.sha256(b"x" * 3_000_000).hexdigest())]
