@@ -88,8 +88,8 @@ class ItemIndex:
     def _runs(self, w: list[str]) -> set[tuple[str, ...]]:
         return {tuple(w[i : i + self.words]) for i in range(len(w) - self.words + 1)}
 
-    def candidates(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
-        """(text, item, from, to, place in the item): regions of the texts whose hits in one band reach the bound."""
+    def candidates(self, texts: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(text, item, places in the text, places in the item): the hits of every band of a text that reach the bound."""
         if not self.usable or not texts:
             return []
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -102,7 +102,7 @@ class ItemIndex:
         k = np.minimum(np.searchsorted(self.gram, g[at]), len(self.gram) - 1)
         same = self.gram[k] == g[at]
         at, k = at[same], k[same]
-        out: list[tuple[int, int, int, int, int]] = []
+        out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         # Hits are unfolded in slices of bounded size that end at document ends.
         doc = np.searchsorted(start, at, side="right") - 1
         n = self.count[k]
@@ -131,7 +131,7 @@ class ItemIndex:
                 head = np.flatnonzero(new)
                 hits = np.diff(np.append(head, len(key)))
                 for h, c in zip(head[hits >= self.bound], hits[hits >= self.bound]):
-                    out.append((int(kd[h]), int(ki[h]), int(kp[h]), int(kp[h + c - 1]) + self.q, int(kf[h])))
+                    out.append((int(kd[h]), int(ki[h]), kp[h : h + c], kf[h : h + c]))
             lo = hi
         return out
 
@@ -154,6 +154,60 @@ class ItemIndex:
             prev = np.minimum.accumulate(cur - idx) + idx
         return int(prev.min())
 
+    def regions(self, item: str, text: str, at: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
+        """(characters, edits) of the regions about the hits of one band that are within the budget.
+
+        The whole stretch of hits where it is; else every piece between gaps wider than the edits of one passage leave,
+        and within a piece that is not, the stretches whose every window of the passage length is.
+        """
+        out = []
+
+        def fits(lo: int, hi: int, f: int) -> bool:
+            e = self.align(item, text[lo:hi], f)
+            if hi - lo >= self.length - self.q * self.edits and e <= self.edits * max(1, (hi - lo) // self.length):
+                out.append((hi - lo, e))
+                return True
+            return False
+
+        if fits(int(at[0]), int(at[-1]) + self.q, int(place[0])):
+            return out
+        for piece in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > (self.q + 1) * self.edits + 1) + 1):
+            a, f = at[piece], place[piece]
+            if len(a) < self.bound:
+                continue
+            lo, hi = int(a[0]), int(a[-1]) + self.q
+            if len(piece) < len(at) and hi - lo >= self.length and fits(lo, hi, int(f[0])):
+                continue
+            # windows that may begin before the first hit, since an edit hides the hits about it
+            first = np.arange(max(0, int(a[0]) - self.q), min(int(a[-1]) + self.q, len(text) - self.length) + 1)
+            inside = np.searchsorted(a, first + self.length - self.q, side="right") - np.searchsorted(a, first)
+            first = first[inside >= self.bound]
+            if not len(first):
+                continue
+            k = np.searchsorted(a, first)
+            edits = self._windows(item, text, first, f[k] - a[k] + first)
+            good, edits = first[edits <= self.edits], edits[edits <= self.edits]
+            for run in np.split(np.arange(len(good)), np.flatnonzero(np.diff(good) > 1) + 1):
+                if len(run):
+                    lo, hi = int(good[run[0]]), int(good[run[-1]]) + self.length
+                    k = min(int(np.searchsorted(a, lo)), len(a) - 1)
+                    out.append((hi - lo, max(int(edits[run].max()), self.align(item, text[lo:hi], max(0, int(f[k] - a[k]) + lo)))))
+        return out
+
+    def _windows(self, item: str, text: str, first: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Edits of each window of the passage length against the item about its place; alignment in a band, all windows at once."""
+        slack = 5 * self.edits
+        a, b = _codes(text), np.append(_codes(item), np.uint32(0xFFFFFFFF))
+        shift = np.arange(-slack, slack + 1)
+        cost = np.zeros((len(first), len(shift)), np.int64)
+        for i in range(self.length):
+            j = place[:, None] + i + shift
+            differs = b[np.where((j >= 0) & (j < len(b) - 1), j, len(b) - 1)] != a[first + i][:, None]
+            now = cost + differs
+            now[:, :-1] = np.minimum(now[:, :-1], cost[:, 1:] + 1)
+            cost = np.minimum.accumulate(now - shift, axis=1) + shift
+        return cost.min(1)
+
     def exact(self, item: int, text_words: list[str]) -> int:
         """Length of the longest run of words of the text that stands in the item, 0 if under `words`."""
         runs, best, now = self.runs[item], 0, 0
@@ -168,24 +222,23 @@ def _scan(index: ItemIndex, exact: bool):
         for b in batches:
             ids, texts = b.column("doc").to_numpy(), b.column("norm").to_pylist()
             best: dict[tuple[int, int], tuple[int, int]] = {}
-            by: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-            for d, it, lo, hi, place in index.candidates(texts):
-                by.setdefault((d, it), []).append((lo, hi, place))
+            by: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+            for d, it, at, place in index.candidates(texts):
+                by.setdefault((d, it), []).append((at, place))
             for (d, it), spans in by.items():
                 if exact:
                     # the exact check: every region, widened to the words at its ends
-                    lo, hi = min(s[0] for s in spans), max(s[1] for s in spans)
+                    lo, hi = min(int(at[0]) for at, _ in spans), max(int(at[-1]) for at, _ in spans) + index.q
                     lo = texts[d].rfind(" ", 0, lo + 1) + 1
                     hi = (texts[d].find(" ", max(0, hi - 1)) + 1 or len(texts[d]) + 1) - 1
                     n = index.exact(it, texts[d][lo:hi].split(" "))
                     if n:
                         best[d, it] = (n, 0)
                 else:
-                    for lo, hi, place in spans:
-                        e = index.align(index.norms[it], texts[d][lo:hi], place)
-                        size = hi - lo
-                        if size >= index.length - index.q * index.edits and e <= index.edits * max(1, size // index.length) and size > best.get((d, it), (0, 0))[0]:
-                            best[d, it] = (size, e)
+                    for at, place in spans:
+                        for size, e in index.regions(index.norms[it], texts[d], at, place):
+                            if size > best.get((d, it), (0, 0))[0]:
+                                best[d, it] = (size, e)
             keys = list(best)
             yield pa.record_batch({
                 "doc_id": pa.array(ids[[d for d, _ in keys]] if keys else [], pa.int64()),
@@ -206,7 +259,7 @@ def leaked(
     `exact`: the passage is at least `words` consecutive words of the item, with an edit budget of none, and size is the
     longest such run in words.
     Else it is a region as long in characters as any such run, with at most `edits` edits per that length, found by
-    the same filter and measured by alignment. The items are the stated query set: they go to the tasks in blocks of
+    the same filter and measured by alignment; what stands between two such regions does not count against them. The items are the stated query set: they go to the tasks in blocks of
     `block` items, each block is one pass over the documents, and more than block x blocks_most items are refused.
     Null ids or texts, and items of fewer than `words` words, give no row; repeated rows of a document give one row
     each; items of equal text are all named; an empty table gives an empty result.

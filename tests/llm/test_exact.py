@@ -205,6 +205,21 @@ def test_edited_passages(spark):
     assert got == {1: 0, 2: 1, 4: 0}
 
 
+def test_passages_about_a_replaced_part(spark):
+    head = "the warden who lives in the low house opens the gate of the garden at seven minutes past the hour and waits for the last guest"
+    tail = "then he walks along the wall of the orchard to feed nine grey geese and two goats before the bell of the chapel rings for supper"
+    item = f"{head} who comes from the village of Aldenham by the quiet ferry {tail}"
+    other = f"{head} who left on the long road to Kirkbride in one early coach {tail}"  # as long, so that both parts lie on one diagonal
+    # an edit in every fourth word before a part that is whole
+    rough = " ".join(w + "x" if k % 4 == 1 else w for k, w in enumerate(head.split()))
+    mixed = f"{rough} who comes from the village of Aldenham by the quiet ferry {tail}"
+    none = " ".join(w[:-1] + "q" if k % 4 == 3 else w for k, w in enumerate(item.split()))
+    docs = [(1, f"so {other} and on"), (2, f"so {mixed} and on"), (3, f"so {none} and on"), (4, f"so {item} and on")]
+    assert len(other) == len(item)
+    got = {r["doc_id"]: (r["size"], r["edits"]) for r in leakage.leaked(documents(spark, docs), items(spark, [(7, item)]), words=20, exact=False).collect()}
+    assert set(got) == {1, 2, 4} and all(n >= 94 and e <= 2 for n, e in got.values()) and got[4][0] >= len(item)
+
+
 def test_no_items_no_documents(spark):
     assert leakage.leaked(documents(spark, []), items(spark, [(1, "a " * 20)])).count() == 0
     assert leakage.leaked(documents(spark, [(1, "a " * 20)]), items(spark, [])).count() == 0
