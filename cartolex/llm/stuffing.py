@@ -1,8 +1,8 @@
 """Problem 10: keyword-stuffed pages and lists of links, places or product tags.
 
-Terms of a spam page come back at short, regular gaps. For every word the operator looks at the gaps to its next and
-previous use and at the autocorrelation of positions over a window of lags; stretches where most words recur that
-fast, and lists of many names without function words, are spam, sentences about a place are not. A document is a case
+Terms of a spam page come back at short or at regular gaps. For every word the operator looks at the gaps to its next and
+previous use, at the autocorrelation of positions over a window of lags, and over the whole document at gaps of any
+length that keep equal; stretches where most words recur that way, and lists of many names without function words, are spam, sentences about a place are not. A document is a case
 where most of its words stand in such stretches.
 """
 
@@ -35,6 +35,8 @@ FUNCTION = frozenset(
 )
 #: Words by which a recurring term must come back, and the lags over which positions are correlated.
 GAP, LAGS = 7, 8
+#: Uses of a term in one period of a regular repetition, and sentences that the period may go through.
+EVEN_USES, EVEN_UNITS = 3, 2
 #: Shares of recurring words from which a stretch is stuffed, and of function words under which a list has none.
 STUFFED, BARE = 0.5, 0.06
 #: Words of a stretch from which one without function words is a list, and share of words with digits of price lists.
@@ -85,6 +87,44 @@ def recurrence(codes: np.ndarray, plain: np.ndarray) -> np.ndarray:
     return out
 
 
+def _even(codes: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """Of each position: whether its code comes back three times or more at even gaps, however long these are.
+
+    A code may be used up to EVEN_USES times in a period; gaps are even that differ by one word or a tenth at most. A gap
+    leads into one of the next EVEN_UNITS sentences: what comes back after more of them is a passage said again.
+    """
+    n = len(codes)
+    out = np.zeros(n, bool)
+    at = np.argsort(codes, kind="stable")
+    c = codes[at]
+    for k in range(1, EVEN_USES + 1):
+        if n <= 3 * k:
+            break
+        d = at[k:] - at[:-k]
+        trio = np.stack((d[: n - 3 * k], d[k : n - 2 * k], d[2 * k :]))
+        most = trio.max(0)
+        near = unit[at[k:]] - unit[at[:-k]] <= EVEN_UNITS
+        near = near[: n - 3 * k] & near[k : n - 2 * k] & near[2 * k :]
+        even = np.flatnonzero(near & (c[3 * k :] == c[: n - 3 * k]) & (most - trio.min(0) <= np.maximum(1, most // 10)))
+        for j in range(4):
+            out[at[even + j * k]] = True
+    return out
+
+
+def regularity(codes: np.ndarray, plain: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """Of each word: whether it is part of a term that keeps coming back at even gaps over the whole document.
+
+    Terms are those of `recurrence`: words that are no function words, and pairs of words that are not both.
+    """
+    n = len(codes)
+    out = _even(np.where(plain, codes, -1 - np.arange(n)), unit)
+    if n > 2:
+        _, pair = np.unique(codes[:-1] * (n + 1) + codes[1:], return_inverse=True)
+        at = np.flatnonzero(_even(np.where(plain[:-1] | plain[1:], pair, -1 - np.arange(n - 1)), unit))
+        out[at] = out[at + 1] = True
+    return out
+
+
 def _key_phrase(codes: np.ndarray, plain: np.ndarray) -> np.ndarray:
     """Of each word: whether it stands in the pair of words that most often comes back at short gaps."""
     out = np.zeros(len(codes), bool)
@@ -132,12 +172,13 @@ def stretches(text: str) -> list[tuple[str, int, bool]]:
     codes = np.array([known.setdefault(w, len(known)) for w in flat])
     plain = np.array([w not in FUNCTION and not w.isdigit() for w in flat])
     again = recurrence(codes, plain)
+    even = again | regularity(codes, plain, np.repeat(np.arange(len(units)), [len(ws) for ws in words]))
     key = _key_phrase(codes, plain)
     heard: list[tuple[int, int]] = []
     out, at = [], 0
     for u, ws in zip(units, words):
         n = len(ws)
-        part, own, pl = again[at : at + n], codes[at : at + n], plain[at : at + n]
+        part, beats, own, pl = again[at : at + n], even[at : at + n], codes[at : at + n], plain[at : at + n]
         at += n
         bare = sum(w in FUNCTION or bool(KANA.search(w)) for w in ws) / n
         share = part.mean()
@@ -145,7 +186,7 @@ def stretches(text: str) -> list[tuple[str, int, bool]]:
         items = len(parts)
         fields = items >= 2 and sum(bool(FIELD.match(x)) for x in parts) * 2 >= items
         _, beat = autocorrelation(own) if n >= 12 else (0, 0.0)
-        stuffed = n >= 6 and (share >= STUFFED or beat >= 0.4 and pl.mean() > 0.5)
+        stuffed = n >= 6 and (share >= STUFFED or beat >= 0.4 and pl.mean() > 0.5 or not fields and beats.mean() >= STUFFED)
         names = n >= 8 and items >= 4 and bare <= (BARE if items < 8 else 2 * BARE) and n / items <= 6 or n >= LONG and bare <= BARE
         names = names and not fields
         priced = n >= 12 and bare <= 2 * BARE and not fields and sum(any(c.isdigit() for c in w) for w in ws) >= PRICED * n

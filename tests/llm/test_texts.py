@@ -184,6 +184,22 @@ def test_segments_of_all_texts(spark):
 ARTICLE = "The path from Alton to Belham crosses the old moor and passes twelve kilns. In Alton people still feed the ducks beside the mill. It takes seven minutes to walk from Alton to the dune. Schools from Alton come here to fly a kite. "
 
 
+def test_long_periods():
+    terms = "cabin tent barn kiln oak lake ferry mill pond garden ridge farm shop hotel".split()
+    towns = ["Oldham", "Great Alton", "Corby"]
+    cycle = " ".join(f"the {a} of {b}" for a, b in zip(terms, terms[1:]))
+    for text in (
+        "Book the wooden cabin of Oldham by the lake for your family. " * 100,
+        (cycle + " ") * 12,
+        " ".join(f"Book the wooden cabin of {towns[k % 3]} by the lake for your family and two friends." for k in range(40)),
+    ):
+        bad, n = stuffing.spam_share(text)
+        assert bad > 0.9 * n
+    for text in (ARTICLE * 3, ARTICLE * 400):
+        bad, n = stuffing.spam_share(text)
+        assert bad <= 0.5 * n
+
+
 @pytest.mark.parametrize("text,spam", [
     (ARTICLE, False), (ARTICLE * 3 + "oaks (3); ponds (4); reeds (7); herons (12); oaks (9); ferns (2)", False),
     ("Oldham campsite cheap Oldham campsite near Oldham campsite best Oldham campsite Oldham campsite online", True),
