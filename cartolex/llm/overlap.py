@@ -1,11 +1,11 @@
 """Problem 3: records of evaluation splits that recur, exactly or almost, in the training split.
 
-A suffix array over the words of partitioned texts. Every suffix is known by its first three words; the
-shuffle by that prefix sorts equal prefixes next to each other, so an interval of the array is one run of
-three words with all the texts that hold it. An interval with suffixes of one side only reveals nothing and
-is dropped; the others are the shared spans. Texts that share three fifths of their runs must meet in one of
-the few rarest intervals of either (the prefix principle of set joins), so only those are paired. Spans of a
-pair are then merged into the words of either text that they cover.
+A prefix-filtered join of runs of three words, not a suffix array: a pair is defined by the share of distinct runs,
+and longest common prefixes do not enter that. Every text is known by the digests of its runs. A run that texts of one
+side only hold reveals nothing and is dropped. Texts that share three fifths of their runs must meet in one of the
+few rarest runs of either (the prefix principle of set joins), so only those are paired and measured exactly. Spans of
+such a pair are merged into the words of either text that they cover; pairs under the share, as of a short text that
+stands whole in a long one, are not found.
 """
 
 from __future__ import annotations
