@@ -51,10 +51,11 @@ def _complement(have: np.ndarray, gap: int) -> tuple[int, ...]:
         if a * 2 != gap or have[a] > 1:
             return (int(gap - a), int(a))
     lengths = np.flatnonzero(have[:gap])
-    lengths = lengths[lengths > 0][::-1]
-    for a in lengths[:64]:
+    for a in lengths[::-1]:  # the longest of the three; the others are no longer than it
         rest = gap - int(a)
-        half = np.arange(1, rest // 2 + 1)
+        if rest > 2 * a:
+            break
+        half = np.arange(max(1, rest - int(a)), rest // 2 + 1)
         ok = half[(have[half] > 0) & (have[rest - half] > 0)]
         for b in ok[::-1]:
             trio = (int(a), rest - int(b), int(b))

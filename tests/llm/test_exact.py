@@ -230,6 +230,24 @@ def test_no_items_no_documents(spark):
 # --- problem 8 ---------------------------------------------------------------------------------------------------
 
 
+def test_triple_behind_many_longer_lengths():
+    import numpy as np
+
+    have = np.zeros(2049, np.int64)
+    have[1300:1400] = 1
+    have[500] = 3
+    assert packing._complement(have, 1500) == (500, 500, 500)
+    for seed in range(40):  # three available lengths or none, as trying all says
+        rng = random.Random(seed)
+        gap = rng.randint(20, 60)
+        have = np.zeros(61, np.int64)
+        have[[rng.randint(1, 60) for _ in range(rng.randint(2, 6))]] = rng.randint(1, 3)
+        items = [k for k in range(61) for _ in range(min(3, have[k]))]
+        want = any(sum(c) == gap for n in (1, 2, 3) for c in combinations(items, n))
+        got = packing._complement(have, gap)
+        assert bool(got) == want and (not got or sum(got) == gap and all(have[x] >= n for x, n in Counter(got).items()))
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_packing_uses_every_item_once(seed):
     rng = random.Random(seed)
