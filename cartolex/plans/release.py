@@ -12,6 +12,8 @@ from ..operators import checks, dedup, summary
 from ..schema import SPLITS
 
 ROW_GROUP = 25_000
+#: Language labels that a manifest names, the most frequent first; the driver holds no more of them.
+NAMED = 1000
 
 
 def ordered_places(rows: DataFrame, split: str, order: list[str]) -> DataFrame:
@@ -47,11 +49,16 @@ def manifest(kept: DataFrame) -> dict:
     by = {r["split"]: r.asDict() for r in summary.split_counts(kept).collect()}
     classes = summary.distribution(kept, "worldcover_code").orderBy("worldcover_code").collect()
     langs = summary.distribution(kept, "language")
-    ordered = langs.orderBy(*summary.by_frequency(langs, "language")).limit(1000).collect()
+    ordered = langs.orderBy(*summary.by_frequency(langs, "language")).limit(NAMED).collect()
+    # Labels are free text: what is not named is counted as one, so that the counts add up to the release.
+    total = langs.agg(F.count("*").alias("labels"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    rest = total["n"] - sum(r["n"] for r in ordered)
+    other = {"labels": total["labels"] - len(ordered), "n": rest, "share": round(rest / max(1, total["n"]), 6)}
     return {
         "splits": {k: {c: int(v[c]) for c in ("examples", "polygons", "documents")} for k, v in by.items()},
         "classes": [{"code": r["worldcover_code"], "n": r["n"], "share": r["share"]} for r in classes],
         "languages": [{"language": r["language"], "n": r["n"], "share": r["share"]} for r in ordered],
+        "languages_other": other,
         "quantiles": summary.quantiles(kept).first().asDict(), "bbox": summary.bbox(kept).first().asDict(), "coverage": summary.coverage_stats(kept).first().asDict(),
     }
 

@@ -38,3 +38,12 @@ def test_every_polygon_is_accounted_for(spark, tmp_path):
     assert release.build(spark, spark.read.parquet(path), str(tmp_path / "out"))["violations"] == {}
     assert main(["validate", *[str(tmp_path / "out" / f"{n}.parquet") for n in ("train", "validation", "test")]]) == 0
     assert main(["audit", path]) == 0
+
+
+def test_language_counts_add_up(spark, sf, monkeypatch):
+    monkeypatch.setattr(release, "NAMED", 2)
+    rows = spark.read.parquet(f"{sf}/release_rows.parquet")
+    out = release.manifest(rows)
+    kinds = rows.select("language").distinct().count()
+    assert kinds > 2 and len(out["languages"]) == 2 and out["languages_other"]["labels"] == kinds - 2
+    assert sum(x["n"] for x in out["languages"]) + out["languages_other"]["n"] == rows.count()
