@@ -36,7 +36,7 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     rows = read_table(spark, sf, "release_rows")
-    return overlap.overlap_report(overlap.cross_split_overlaps(rows), rows)
+    return overlap.overlap_report(*overlap.overlapping_classes(rows), rows)
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

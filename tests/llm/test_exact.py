@@ -5,6 +5,8 @@ import re
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,16 +96,41 @@ def test_overlaps_are_complete(spark, seed):
         b = base[i % len(base)] if i % 3 else [rng.choice(vocabulary) for _ in range(30)]
         rows.append((i, 1, "p", edited(rng, b, rng.randint(0, 9)), rng.choice(["train", "train", "test", "validation", None, "other"]), None, None))
     rows += [(500, 1, "p", None, "train", None, None), (501, 1, "p", "", "test", None, None), (502, 1, "p", " ".join(base[0]), "train", None, None), (503, 1, "p", " ".join(base[0]).upper(), "test", None, None)]
-    got = overlap.cross_split_overlaps(release(spark, rows))
-    assert sorted((r["train_id"], r["eval_id"]) for r in got.collect()) == brute_overlaps(rows)
+    # with crowded intervals apart, as of a corpus much larger, and without
+    for crowded in (overlap.CROWDED, 6):
+        got = overlap.cross_split_overlaps(release(spark, rows), crowded=crowded)
+        assert sorted((r["train_id"], r["eval_id"]) for r in got.collect()) == brute_overlaps(rows)
+
+
+def test_intervals_across_batches():
+    """An interval that spans batches is judged as one; the stream holds no more than the open interval."""
+    rng = np.random.default_rng(5)
+    head = np.sort(rng.integers(0, 40, 600))
+    side = rng.choice([1, 1, 1, 2, 3], 600)
+    side[head < 12] = 1
+    cols = {"head": head, "cls": np.arange(600), "side": side.astype(np.int8), "n": np.full(600, 9)}
+    whole = pa.record_batch({k: pa.array(v) for k, v in cols.items()})
+    cut = [whole.slice(k, 7) for k in range(0, 600, 7)]
+    one, many = (pa.Table.from_batches(list(overlap._intervals(iter(x)))).to_pydict() for x in ([whole], cut))
+    assert one == many
+    want = {h for h in range(40) if (head == h).sum() > 1 and (side[head == h] & 1).any() and (side[head == h] & 2).any()}
+    assert set(one["head"]) == want and len(one["head"]) == sum((head == h).sum() for h in want)
+
+
+def test_overlap_of_texts_beyond_a_million_runs(spark):
+    long = [f"{i * 7919 % 1048583:x}" for i in range(1_060_000)]
+    rows = [(1, 1, "p", " ".join(long), "train", None, None), (2, 1, "p", " ".join(long[:1_050_000]), "test", None, None)]
+    got = overlap.cross_split_overlaps(release(spark, rows)).collect()
+    assert [(r["train_id"], r["eval_id"], r["eval_words"]) for r in got] == [(1, 2, 1_050_000)]
 
 
 def test_overlap_of_very_long_and_repeated_texts(spark):
     long = " ".join(f"a{i % 997} b{i % 41}" for i in range(40_000))
     rows = [(1, 1, "p", long, "train", None, None), (2, 1, "p", long + " tail", "test", None, None)] + [(10 + i, 1, "p", "same " * 30, "train" if i % 2 else "test", None, None) for i in range(10)]
-    got = overlap.cross_split_overlaps(release(spark, rows))
-    assert len(pairs(got.select("train_id", "eval_id"))) == 1 + 25
-    report = overlap.overlap_report(got, release(spark, rows)).collect()
+    found, members = overlap.overlapping_classes(release(spark, rows))
+    assert found.count() == 2 and members.count() == 12  # the hot text is one class, not 25 pairs
+    assert len(pairs(overlap.row_pairs(found, members).select("train_id", "eval_id"))) == 1 + 25
+    report = overlap.overlap_report(found, members, release(spark, rows)).collect()
     assert [(r["eval_split"], r["pairs"], r["eval_rows"], r["train_rows"]) for r in report] == [("test", 26, 6, 6)]
 
 
