@@ -1,14 +1,16 @@
 """Problem 9: passages of evaluation items inside corpus documents.
 
 Q-gram lemma: a region of at least L characters of an item that occurs in a document with at most k edits shares
-at least L + 1 - q(k + 1) of its q-grams with it, all within a band of diagonals. Documents stream past an index
-of the items' q-grams; hits are counted in overlapping diagonal bands, regions that reach the bound are verified
-by banded alignment, and the words of the verified region are compared exactly where an exact run is asked for.
+at least L + 1 - q(k + 1) of its q-grams with it, all within a band of diagonals. Hits are counted in overlapping
+diagonal bands, regions that reach the bound are verified by banded alignment, and the words of the verified region are
+compared exactly where an exact run is asked for. Few items go to every task as one index that documents stream past; more
+of them meet the documents in a shuffle, by the q-grams that windows of both select alike.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,11 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.runtime import spread
+from ..functions.runtime import materialise, spread
 from ..functions.words import word_string
+from .overlap import slices
 
 BITS = 22
 LONGEST = 24
+#: Characters of items up to which all of them are one index in every task, and characters of text that a task takes at once.
+FEW_CHARS, CHARS = 4_000_000, 2_000_000
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -62,11 +67,11 @@ def _least_chars(norms: list[str], words: int) -> int:
 class ItemIndex:
     """Q-grams of a block of items: digests in order with the items and places that hold them, and a bitmap before."""
 
-    def __init__(self, items: list[tuple[int, str]], words: int, edits: int) -> None:
+    def __init__(self, items: list[tuple[int, str]], words: int, edits: int, length: int | None = None) -> None:
         self.ids = np.array([i for i, _ in items], np.int64)
         self.norms = [t for _, t in items]
         self.words, self.edits = words, edits
-        self.length = _least_chars(self.norms, words)
+        self.length = _least_chars(self.norms, words) if length is None else length
         self.usable = self.length < 1 << 30
         if not self.usable:
             return
@@ -109,7 +114,7 @@ class ItemIndex:
         cum = np.cumsum(n)
         lo = 0
         while lo < len(at):
-            hi = int(np.searchsorted(cum, (cum[lo - 1] if lo else 0) + 4_000_000, side="right"))
+            hi = int(np.searchsorted(cum, (cum[lo - 1] if lo else 0) + 500_000, side="right"))
             hi = max(hi, lo + 1)
             if hi < len(at):
                 back = int(np.searchsorted(doc, doc[hi], side="left"))
@@ -135,24 +140,41 @@ class ItemIndex:
             lo = hi
         return out
 
-    def align(self, item: str, region: str, place: int) -> int:
-        """Edits between the region and the item about `place`: alignment in a band, free at the item's ends."""
+    def align(self, item: str, region: str, place: int, most: int | None = None) -> int:
+        """Edits between the region and the item about `place`, free at the item's ends; `most` + 1 where there are more.
+
+        A band of diagonals, each followed from one mismatch to the next: the furthest place that every number of edits reaches.
+        """
         slack = 2 * self.edits + 1
-        part = item[max(0, place - slack) : place + len(region) + slack]
+        low = place - slack
+        part = item[max(0, low) : place + len(region) + slack]
         if region in part:
             return 0
-        a, b = _codes(region), _codes(part)
-        far, idx = 1 << 20, np.arange(len(b) + 1)
-        prev = np.where(idx <= 2 * slack, 0, far)
-        for i, ch in enumerate(a, 1):
-            cur = np.full(len(b) + 1, far)
-            lo, hi = max(0, i - slack), min(len(b), i + 2 * slack)
-            if lo == 0:
-                cur[0] = i
-            lo = max(1, lo)
-            cur[lo : hi + 1] = np.minimum(prev[lo - 1 : hi] + (b[lo - 1 : hi] != ch), prev[lo : hi + 1] + 1)
-            prev = np.minimum.accumulate(cur - idx) + idx
-        return int(prev.min())
+        most = len(region) if most is None else most
+        a, n = _codes(region), len(region)
+        far = np.full(n + 5 * slack + 2, 0xFFFFFFFF, np.uint32)  # diagonals from -slack to 2 x slack, padded on both sides
+        b = _codes(part)[: len(far) - slack]
+        far[slack : slack + len(b)] = b
+        width = 4 * slack + 1
+        breaks = [np.flatnonzero(far[d : d + n] != a).tolist() + [n] for d in range(width)]
+        reach = [-1] * width
+        for e in range(min(most, n) + 1):
+            now = []
+            for d in range(width):
+                at = 0 if e == 0 and slack <= d <= 3 * slack else -1
+                if e:
+                    at = reach[d] + 1 if reach[d] >= 0 else -1  # another character
+                    if d and reach[d - 1] >= 0:  # one that only the item has
+                        at = max(at, reach[d - 1])
+                    if d + 1 < width and reach[d + 1] >= 0:  # one that only the region has
+                        at = max(at, reach[d + 1] + 1)
+                if at >= 0:
+                    at = n if at >= n else breaks[d][bisect_left(breaks[d], at)]
+                    if at >= n:
+                        return e
+                now.append(at)
+            reach = now
+        return min(most, n) + 1
 
     def regions(self, item: str, text: str, at: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
         """(characters, edits) of the regions about the hits of one band that are within the budget.
@@ -163,8 +185,9 @@ class ItemIndex:
         out = []
 
         def fits(lo: int, hi: int, f: int) -> bool:
-            e = self.align(item, text[lo:hi], f)
-            if hi - lo >= self.length - self.q * self.edits and e <= self.edits * max(1, (hi - lo) // self.length):
+            most = self.edits * max(1, (hi - lo) // self.length)
+            e = self.align(item, text[lo:hi], f, most)
+            if hi - lo >= self.length - self.q * self.edits and e <= most:
                 out.append((hi - lo, e))
                 return True
             return False
@@ -217,61 +240,128 @@ class ItemIndex:
         return best + self.words - 1 if best else 0
 
 
+    def find(self, texts: list[str], exact: bool, wanted: set[tuple[int, int]] | None = None) -> dict[tuple[int, int], tuple[int, int]]:
+        """{(text, item): (size, edits)} of the texts' largest verified regions, for the pairs `wanted` where these are given."""
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        by: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for d, it, at, place in self.candidates(texts):
+            if wanted is None or (d, it) in wanted:
+                by.setdefault((d, it), []).append((at, place))
+        for (d, it), spans in by.items():
+            found = [r for at, place in spans for r in self.regions(self.norms[it], texts[d], at, place)]
+            if not found:
+                continue
+            if exact:
+                # the exact check of what alignment let through, widened to the words at its ends
+                lo, hi = min(int(at[0]) for at, _ in spans), max(int(at[-1]) for at, _ in spans) + self.q
+                lo = texts[d].rfind(" ", 0, lo + 1) + 1
+                hi = (texts[d].find(" ", max(0, hi - 1)) + 1 or len(texts[d]) + 1) - 1
+                n = self.exact(it, texts[d][lo:hi].split(" "))
+                if n:
+                    best[d, it] = (n, 0)
+            else:
+                best[d, it] = max(found, key=lambda x: (x[0], -x[1]))
+        return best
+
+
+SCHEMA = "doc_id long, item_id long, size long, edits long"
+
+
+def _batch(ids: np.ndarray, items: np.ndarray, best: dict[tuple[int, int], tuple[int, int]]) -> pa.RecordBatch:
+    keys = list(best)
+    return pa.record_batch({
+        "doc_id": pa.array(ids[[d for d, _ in keys]] if keys else [], pa.int64()), "item_id": pa.array(items[[i for _, i in keys]] if keys else [], pa.int64()),
+        "size": pa.array([best[k][0] for k in keys], pa.int64()), "edits": pa.array([best[k][1] for k in keys], pa.int64()),
+    })
+
+
 def _scan(index: ItemIndex, exact: bool):
+    """Documents past one index of all items."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column("doc").to_numpy(), b.column("norm").to_pylist()
-            best: dict[tuple[int, int], tuple[int, int]] = {}
-            by: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
-            for d, it, at, place in index.candidates(texts):
-                by.setdefault((d, it), []).append((at, place))
-            for (d, it), spans in by.items():
-                if exact:
-                    # the exact check: every region, widened to the words at its ends
-                    lo, hi = min(int(at[0]) for at, _ in spans), max(int(at[-1]) for at, _ in spans) + index.q
-                    lo = texts[d].rfind(" ", 0, lo + 1) + 1
-                    hi = (texts[d].find(" ", max(0, hi - 1)) + 1 or len(texts[d]) + 1) - 1
-                    n = index.exact(it, texts[d][lo:hi].split(" "))
-                    if n:
-                        best[d, it] = (n, 0)
-                else:
-                    for at, place in spans:
-                        for size, e in index.regions(index.norms[it], texts[d], at, place):
-                            if size > best.get((d, it), (0, 0))[0]:
-                                best[d, it] = (size, e)
-            keys = list(best)
-            yield pa.record_batch({
-                "doc_id": pa.array(ids[[d for d, _ in keys]] if keys else [], pa.int64()),
-                "item_id": pa.array(index.ids[[i for _, i in keys]] if keys else [], pa.int64()),
-                "size": pa.array([best[k][0] for k in keys], pa.int64()),
-                "edits": pa.array([best[k][1] for k in keys], pa.int64()),
-            })
+            for lo, hi in slices(texts, CHARS):
+                yield _batch(ids[lo:hi], index.ids, index.find(texts[lo:hi], exact))
+
+    return run
+
+
+def _lengths(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch({"least": pa.array([_least_chars(b.column("t").to_pylist(), words)], pa.int64())})
+
+    return run
+
+
+def _selected(key: str, text: str, q: int, window: int):
+    """(key, gram): distinct q-grams of each text that have the smallest digest of some window of `window` neighbours."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, texts = b.column(key).to_numpy(), b.column(text).to_pylist()
+            for lo, hi in slices(texts, CHARS):
+                part = texts[lo:hi]
+                start = np.concatenate(([0], np.cumsum([len(t) + 1 for t in part])[:-1]))
+                g = _grams(_codes("\n".join(part)), q)
+                if len(g) < window:
+                    continue
+                at = np.unique(np.lib.stride_tricks.sliding_window_view(g, window).argmin(1) + np.arange(len(g) - window + 1))
+                own = keys[lo:hi][np.searchsorted(start, at, side="right") - 1]
+                rows = pa.table({key: pa.array(own), "gram": pa.array(g[at].view(np.int64))}).group_by([key, "gram"]).aggregate([])
+                yield from rows.select([key, "gram"]).to_batches()
+
+    return run
+
+
+def _verify(words: int, edits: int, exact: bool, length: int):
+    """Candidate pairs with both texts: an index of the items of a slice, asked for the slice's own pairs only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, item, norms, texts = (b.column(c).to_pylist() for c in ("doc", "i", "norm", "t"))
+            for lo, hi in slices([x + y for x, y in zip(norms, texts)], CHARS):
+                known = sorted(set(zip(item[lo:hi], texts[lo:hi])))
+                at = {x: k for k, x in enumerate(known)}
+                index = ItemIndex(known, words, edits, length)
+                wanted = {(k - lo, at[item[k], texts[k]]) for k in range(lo, hi)}
+                yield _batch(np.array(doc[lo:hi], np.int64), index.ids, index.find(norms[lo:hi], exact, wanted))
 
     return run
 
 
 def leaked(
     documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", words: int = 12, edits: int = 1, exact: bool = True, block: int = 2000, blocks_most: int = 500,
+    item_text_col: str = "text", words: int = 12, edits: int = 1, exact: bool = True, few: int = 2000,
 ) -> DataFrame:
     """(doc_id, item_id, size, edits): documents with a passage of an item.
 
-    `exact`: the passage is at least `words` consecutive words of the item, with an edit budget of none, and size is the
-    longest such run in words.
-    Else it is a region as long in characters as any such run, with at most `edits` edits per that length, found by
-    the same filter and measured by alignment; what stands between two such regions does not count against them. The items are the stated query set: they go to the tasks in blocks of
-    `block` items, each block is one pass over the documents, and more than block x blocks_most items are refused.
+    A region as long in characters as the shortest run of `words` words of any item, with at most `edits` edits per that
+    length, found by counting q-grams in bands and measured by alignment; what stands between two such regions does not
+    count against them. `exact`: the region also holds at least `words` consecutive words of the item; size is then the
+    longest such run in words and edits 0.
+    Up to `few` items and FEW_CHARS characters of them go to every task as one index; more are joined with the documents by
+    selected q-grams: a region with that few edits has an untouched piece, and any window of a piece selects the same q-gram
+    on both sides, so no region is missed. Either way takes one pass over the documents and gives the same rows.
     Null ids or texts, and items of fewer than `words` words, give no row; repeated rows of a document give one row
     each; items of equal text are all named; an empty table gives an empty result.
     """
-    most = block * blocks_most
-    rows = items.select(F.col(item_col).cast("long").alias("i"), word_string(F.col(item_text_col)).alias("t")).where("i is not null and t is not null").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} items; raise blocks_most for more passes")
-    known = sorted((r["i"], r["t"]) for r in rows)
-    docs = spread(documents.select(F.col(doc_col).cast("long").alias("doc"), word_string(F.col(text_col)).alias("norm")).where("doc is not null and norm != ''"))
-    schema, out = "doc_id long, item_id long, size long, edits long", None
-    for k in range(0, max(1, len(known)), block):
-        part = docs.mapInArrow(_scan(ItemIndex(known[k : k + block], words, 0 if exact else edits), exact), schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+    edits = max(1, edits)
+    known = items.select(F.col(item_col).cast("long").alias("i"), word_string(F.col(item_text_col)).alias("t")).where("i is not null and t is not null").distinct()
+    docs = documents.select(F.col(doc_col).cast("long").alias("doc"), word_string(F.col(text_col)).alias("norm")).where("doc is not null and norm != ''")
+    size = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")).first()
+    if size["n"] <= few and size["chars"] <= FEW_CHARS:
+        index = ItemIndex(sorted((r["i"], r["t"]) for r in known.collect()), words, edits)
+        return spread(docs).mapInArrow(_scan(index, exact), SCHEMA)
+    length = known.mapInArrow(_lengths(words), "least long").agg(F.min("least")).first()[0]
+    if length is None or length >= 1 << 30:  # no item is long enough
+        return documents.sparkSession.createDataFrame([], SCHEMA)
+    piece = max(1, (length - edits) // (edits + 1))
+    q = max(1, (piece + 1) // 2)
+    window = piece - q + 1
+    docs, known = materialise(docs), materialise(known)
+    of_docs, of_items = (x.mapInArrow(_selected(k, t, q, window), f"{k} long, gram long") for x, k, t in ((docs, "doc", "norm"), (known, "i", "t")))
+    met = of_docs.join(of_items, "gram").select("doc", "i").distinct()
+    both = met.join(docs, "doc").join(known, "i").select("doc", "i", "norm", "t")
+    return both.mapInArrow(_verify(words, edits, exact, length), SCHEMA)
