@@ -3,7 +3,8 @@
 An interpolated Kneser-Ney model of the characters of words for each language; the n-grams of all languages stand in
 one sorted array of hashes with a row of probabilities each. A word is scored once per task for all languages, a
 segment by the sum over its words; the language of lowest cross-entropy per character wins, unless that or its
-distance to the next is out of the range calibrated on texts that were held out.
+distance to the next is out of the range calibrated on texts that were held out: such a segment is `und`, written in none
+of the languages. Confidence is calibrated on the same texts.
 """
 
 from __future__ import annotations
@@ -28,7 +29,11 @@ SPELLINGS = {
     "pt": "por portuguese português", "nl": "nld dut dutch nederlands", "sv": "swe swedish svenska", "pl": "pol polish polski", "ru": "rus russian русский", "ja": "jpn japanese 日本語",
 }
 NAMED = {x: k for k, v in SPELLINGS.items() for x in (k, *v.split())}
+#: The outcome for what is written in none of the languages.
+UNKNOWN = "und"
 ORDER = 5
+#: Letters and spaces from which a segment alone can be told to be in none of the languages.
+TOLD = 24
 WORDS = re.compile(r"[^\W\d_]+")
 #: Ends of segments: ends of sentences, fields and lines.
 SEGMENTS = re.compile(r"(?<=[.!?…])\s+|[。！？;|\n\r]+|\s[–/]\s|//")
@@ -173,21 +178,60 @@ class Tongues:
         return out, np.array([sum(map(len, s)) + len(s) for s in split]), count
 
     def _calibrate(self, held: dict[str, list[str]]) -> None:
-        """Per language: the cross-entropy per character beyond which a text is none of the language.
+        """Limits of rejection and the confidence of a lead, from segments of texts held out.
 
-        A language with fewer than five texts held out takes the limit of all held-out texts together.
+        The cross-entropy per character of a segment in its own language varies about the language's mean with a part that
+        shrinks with its length; beyond the deviation that one in a thousand of the held-out segments of all languages
+        passes, a segment is none of the language. Confidence is the logistic regression, on the same segments, of the best
+        language being the labelled one on the logarithm of its lead; two counts of either outcome are added, so no lead is certain.
         """
-        own = {}
-        for j, name in enumerate(self.names):
-            if held.get(name):
-                s, n, _ = self.scores(held[name])
-                own[j] = -s[:, j] / np.maximum(1, n)
-        every = np.concatenate(list(own.values())) if own else np.zeros(0)
-        self.most = np.full(len(self.names), np.inf)
-        for j in range(len(self.names)):
-            x = own[j] if len(own.get(j, ())) >= 5 else every
-            if len(x) >= 5:
-                self.most[j] = x.mean() + max(8 * x.std(), 1.0)
+        L = len(self.names)
+        self.mean, self.spread_, self.limit, self.slope = np.zeros(L), (0.0, np.inf), np.inf, (1.0, 0.0)
+        rows = [(j, x) for j, name in enumerate(self.names) for t in held.get(name, ()) for x in segments(t)]
+        if not rows:
+            return
+        own = np.array([j for j, _ in rows])
+        score, chars, words = self.scores([x for _, x in rows])
+        told = (chars >= TOLD) & (words > 1)
+        own, score, chars = own[told], score[told], chars[told]
+        if len(own) < 20:
+            return
+        best, lead = score.argmax(1), self._lead(score)
+        fit = best == own  # segments in another language than their text's label say nothing of the label's model
+        e = -score[np.arange(len(own)), own] / chars
+        for j in range(L):
+            mine = e[fit & (own == j)]
+            self.mean[j] = mine.mean() if len(mine) >= 5 else e[fit].mean()
+        r, n = (e - self.mean[own])[fit], chars[fit]
+        a = np.stack((np.ones(len(n)), 1 / n), 1)
+        base, per = np.maximum(np.linalg.lstsq(a, r**2, rcond=None)[0], (1e-4, 1e-3))
+        self.spread_ = (float(base), float(per))
+        self.limit = max(4.0, float(np.quantile(r / np.sqrt(base + per / n), 0.999)))
+        x, y, weight = np.log(np.r_[lead, 1.0, 1.0, 50.0, 50.0] + 1e-3), np.r_[fit, 1, 0, 1, 0].astype(float), np.r_[np.ones(len(fit)), 1, 1, 1, 1]
+        w = np.zeros(2)
+        for _ in range(30):  # Newton steps of a regression of two numbers
+            p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
+            g = np.array([((p - y) * weight * x).sum() + 1e-3 * w[0], ((p - y) * weight).sum()])
+            v = weight * p * (1 - p)
+            w -= np.linalg.solve(np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-6]]), g)
+        self.slope = (float(w[0]), float(w[1]))
+
+    def _lead(self, score: np.ndarray) -> np.ndarray:
+        """By how much the best language beats the next, as the logarithm of a ratio of probabilities."""
+        if score.shape[1] < 2:
+            return np.full(len(score), 50.0)
+        two = np.partition(score, -2, axis=1)[:, -2:]
+        return two[:, 1] - two[:, 0]
+
+    def _sure(self, gap: np.ndarray) -> np.ndarray:
+        """Probability that the language with this lead is right; under a half where another one is more probable."""
+        w, b = self.slope
+        return np.where(gap > 0, 1 / (1 + np.exp(-(w * np.log(np.maximum(gap, 0) + 1e-3) + b))), 0.5 / (1 + np.maximum(-gap, 0)))
+
+    def _far(self, score: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """Deviation of each segment from each language's cross-entropy, in standard deviations of a segment of its length."""
+        n = np.maximum(1, chars)[:, None]
+        return (-score / n - self.mean) / np.sqrt(self.spread_[0] + self.spread_[1] / n) if self.spread_[1] < np.inf else np.zeros(score.shape)
 
     def language(self, text: str) -> str | None:
         s, n, _ = self.scores([text])
@@ -196,35 +240,39 @@ class Tongues:
     def read(self, texts: list[list[str]], least: int = 4, margin: float = 9.0) -> list[list[tuple[int, str, float]]]:
         """For each text (a list of segments): (segment, language, confidence) of every segment that has letters.
 
-        A segment is clear where its language beats every other by `margin` (the logarithm of how much more probable it
-        is), with `least` words or a dozen letters, and fits that language's model. Other segments take the most probable
-        of the languages of clear ones; a text without any takes the language of the whole. A segment
-        beyond the calibrated limit of the language it gets is rejected: that language is no more than the nearest one, and the
-        confidence is under a half, the lower the further the segment is beyond the limit.
+        A segment of TOLD letters or more whose best language is beyond the calibrated limit is UNKNOWN: it is written in none
+        of the languages; its confidence is how far it is beyond. A segment is clear where its language beats every other by
+        `margin` (the logarithm of how much more probable it is), with `least` words or a dozen letters, and is not unknown.
+        Other segments take the most probable of the languages of clear ones; a text without any takes the language of
+        the whole, and is unknown where all its segments of that length are.
         """
         flat = [s for t in texts for s in t]
         score, chars, words = self.scores(flat)
+        lead, far = self._lead(score) if len(flat) else score, self._far(score, chars)
         out, at = [], 0
         for t in texts:
-            sc, ch, wo = score[at : at + len(t)], chars[at : at + len(t)], words[at : at + len(t)]
+            part = slice(at, at + len(t))
+            sc, ch, wo, le, fa = score[part], chars[part], words[part], lead[part], far[part]
             at += len(t)
             if not ch.sum() or not self.names:
                 out.append([])
                 continue
             best = sc.argmax(1)
-            rest = sc.copy()
-            rest[np.arange(len(t)), best] = -np.inf
-            lead = sc.max(1) - rest.max(1) if len(self.names) > 1 else np.full(len(t), 50.0)
-            clear = (lead >= margin) & ((wo >= least) | (ch >= 12)) & (-sc.max(1) <= self.most[best] * ch)
+            beyond = fa[np.arange(len(t)), best] - self.limit
+            told = (ch >= TOLD) & (wo > 1)
+            none = told & (beyond > 0)
+            clear = (le >= margin) & ((wo >= least) | (ch >= 12)) & ~none
             # doubtful segments take one of the languages that clear ones have, or that of the whole text
             there = np.unique(best[clear]) if clear.any() else np.array([int(sc.sum(0).argmax())])
+            lost = none.any() and not (told & ~none).any()  # the short ones beside unknown ones tell nothing
             found = []
             for k in np.flatnonzero(ch):
+                if none[k] or lost:
+                    found.append((int(k), UNKNOWN, float(1 - 0.5 * np.exp(-max(beyond[k], 0)))))
+                    continue
                 j = int(there[sc[k, there].argmax()])
                 gap = sc[k, j] - np.delete(sc[k], j).max() if len(self.names) > 1 else 50.0
-                sure = float(1 / (1 + np.exp(-np.clip(gap, -50, 50))))
-                beyond = -sc[k, j] / ch[k] - self.most[j]
-                found.append((int(k), self.names[j], sure if beyond <= 0 else min(sure, 0.5 * float(np.exp(-beyond)))))
+                found.append((int(k), self.names[j], float(self._sure(np.array([gap]))[0])))
             out.append(found)
         return out
 
@@ -257,7 +305,8 @@ def _rows(model: Tongues, skip: residue.Model | None, name: str):
                 weight: Counter[str] = Counter()
                 segs = segments(texts[k]) if skip else ()
                 for at, lang, _ in found:
-                    weight[lang] += len(segs[at]) if skip else 1
+                    if lang != UNKNOWN:
+                        weight[lang] += len(segs[at]) if skip else 1
                 langs = [weight.most_common(1)[0][0]] if skip and weight else list(weight)
                 if langs and (label is None or len(langs) > 1 or langs[0] != label):
                     rows += [(k, x) for x in langs]
@@ -335,7 +384,7 @@ def _read(model: Tongues, whole: bool, pages: bool):
 def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text", whole: bool = False, pages: bool = False) -> DataFrame:
     """(id, segment_no, segment, lang, confidence): every segment with letters, its language and how sure that is.
 
-    A segment that no language fits has a confidence under a half. With `whole` each text that is not null has a row of
+    A segment that no language fits has the language `und`. With `whole` each text that is not null has a row of
     its own besides, whose segment_no and segment are null; that of `pages` goes by the main body. A text without letters
     has language null and confidence 0.
     """
