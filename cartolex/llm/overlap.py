@@ -17,13 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.runtime import materialise
+from ..functions.runtime import discard, materialise
 from ..functions.words import word_string
 
 TRAIN, EVAL = 1, 2
 RUN = 3
 #: Slots by which crowded intervals are known, rows of an interval that are never crowded, and rows of a partition of the array.
-SLOTS, CROWDED, PART_ROWS = 1 << 17, 1_000_000, 2_000_000
+SLOTS, CROWDED, PART_ROWS = 1 << 17, 1_000_000, 1_000_000
 #: Bytes of text that a task digests at once.
 SLICE = 8 << 20
 _RATIO = np.uint64(0x9E3779B97F4A7C15)
@@ -87,27 +87,27 @@ def slices(texts: list[str], size: int = SLICE) -> Iterator[tuple[int, int]]:
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(head, cls, side, n): the suffixes of each text by the digest of their leading run; n is how many the text has."""
+    """(head, cls, meta): the suffixes of each text by the digest of their leading run; meta is four times their number, plus the side."""
     for b in batches:
         texts, cls, side = b.column("norm").to_pylist(), b.column("cls").to_numpy(), b.column("side").to_numpy()
         for lo, hi in slices(texts):
             at, h = run_digests(texts[lo:hi])
             n = np.bincount(at, minlength=hi - lo)
-            yield pa.record_batch({"head": pa.array(h.view(np.int64)), "cls": pa.array(cls[lo:hi][at]), "side": pa.array(side[lo:hi][at].astype(np.int8)), "n": pa.array(n[at])})
+            yield pa.record_batch({"head": pa.array(h.view(np.int64)), "cls": pa.array(cls[lo:hi][at]), "meta": pa.array((n * 4 + side[lo:hi])[at])})
 
 
-SUFFIX = "head long, cls long, side byte, n long"
+SUFFIX = "head long, cls long, meta long"
 
 
 def _shared(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """Of sorted suffixes with all of their neighbours: those in intervals where two texts of different sides meet."""
-    head, cls, side, n = (np.concatenate(x) for x in zip(*parts))
+    head, cls, meta = (np.concatenate(x) for x in zip(*parts))
     first = np.flatnonzero(np.r_[True, head[1:] != head[:-1]]) if len(head) else np.zeros(0, np.int64)
     rows = np.diff(np.append(first, len(head)))
-    trains, evals = (np.add.reduceat((side & s > 0).astype(np.int64), first) if len(first) else first for s in (TRAIN, EVAL))
+    trains, evals = (np.add.reduceat((meta & s > 0).astype(np.int64), first) if len(first) else first for s in (TRAIN, EVAL))
     both = (trains > 0) & (evals > 0) & (rows > 1)
     keep, size = np.repeat(both, rows), np.repeat(trains + evals, rows)
-    return pa.record_batch({"head": head[keep], "cls": cls[keep], "side": side[keep], "n": n[keep], "size": size[keep]})
+    return pa.record_batch({"head": head[keep], "cls": cls[keep], "meta": meta[keep], "size": size[keep]})
 
 
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,7 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        cols = tuple(b.column(c).to_numpy() for c in ("head", "cls", "side", "n"))
+        cols = tuple(b.column(c).to_numpy() for c in ("head", "cls", "meta"))
         open_at = int(np.searchsorted(cols[0], cols[0][-1]))
         if open_at or held and held[-1][0][-1] != cols[0][0]:
             yield _shared([*held, tuple(c[:open_at] for c in cols)])
@@ -145,15 +145,14 @@ def _key() -> list:
     return [F.xxhash64("norm").alias("k1"), F.crc32("norm").alias("k2"), F.length("norm").alias("k3")]
 
 
-def shared_suffixes(classes: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """(head, cls, side, n, size): the suffixes whose leading run stands on both sides, with the texts that meet there.
+def shared_suffixes(suffixes: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(head, cls, meta, size): of written suffixes those whose leading run stands on both sides, with the texts that meet there.
 
     Intervals of crowded slots, which hold more than `crowded` rows and more than eight times the mean, are not gathered:
     their suffixes count as shared by as many texts as their slot has rows. There are fewer than SLOTS / 8 such slots, and
     taking a run for shared adds candidates but loses none.
     """
-    spark = classes.sparkSession
-    suffixes = materialise(classes.select("norm", "cls", "side").mapInArrow(_suffixes, SUFFIX))
+    spark = suffixes.sparkSession
     slot = F.shiftrightunsigned("head", 64 - 17).cast("int")
     counts = suffixes.groupBy(slot.alias("slot")).agg(F.count("*").alias("rows"))
     whole = counts.agg(F.sum("rows")).first()[0] or 0
@@ -179,10 +178,13 @@ def candidate_pairs(classes: DataFrame, share: tuple[int, int], crowded: int = C
     """
     by = Window.partitionBy("cls").orderBy("size", "head")
     covered = F.count("*").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    placed = shared_suffixes(classes, crowded).withColumns({"covered": covered, "place": F.row_number().over(by)})
+    suffixes = materialise(classes.select("norm", "cls", "side").mapInArrow(_suffixes, SUFFIX))
+    shared = shared_suffixes(suffixes, crowded).select("head", "cls", F.shiftright("meta", 2).alias("n"), F.col("meta").bitwiseAND(3).alias("side"), "size")
+    placed = shared.withColumns({"covered": covered, "place": F.row_number().over(by)})
     needed = F.ceil(F.col("n") * share[0] / share[1])
     # `rest`: how many suffixes of the text stand at or after this one in its order
     chosen = materialise(placed.where(F.col("place") <= F.col("covered") - needed + 1).select("head", "cls", "side", "n", (F.col("covered") - F.col("place") + 1).alias("rest")))
+    discard(suffixes)
     a = chosen.where(F.col("side").bitwiseAND(TRAIN) != 0).select("head", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"))
     b = chosen.where(F.col("side").bitwiseAND(EVAL) != 0).select("head", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
     # At their first common suffix, what follows in either must still hold the share: c / (na + nb - c) >= share.
