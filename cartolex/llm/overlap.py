@@ -179,8 +179,8 @@ def candidate_pairs(classes: DataFrame, share: tuple[int, int], crowded: int = C
     by = Window.partitionBy("cls").orderBy("size", "head")
     covered = F.count("*").over(by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     suffixes = materialise(classes.select("norm", "cls", "side").mapInArrow(_suffixes, SUFFIX))
-    shared = shared_suffixes(suffixes, crowded).select("head", "cls", F.shiftright("meta", 2).alias("n"), F.col("meta").bitwiseAND(3).alias("side"), "size")
-    placed = shared.withColumns({"covered": covered, "place": F.row_number().over(by)})
+    placed = shared_suffixes(suffixes, crowded).withColumns({"covered": covered, "place": F.row_number().over(by)})
+    placed = placed.withColumns({"n": F.shiftright("meta", 2), "side": F.col("meta").bitwiseAND(3)})
     needed = F.ceil(F.col("n") * share[0] / share[1])
     # `rest`: how many suffixes of the text stand at or after this one in its order
     chosen = materialise(placed.where(F.col("place") <= F.col("covered") - needed + 1).select("head", "cls", "side", "n", (F.col("covered") - F.col("place") + 1).alias("rest")))

@@ -2,9 +2,9 @@
 
 An interpolated Kneser-Ney model of the characters of words for each language; the n-grams of all languages stand in
 one sorted array of hashes with a row of probabilities each. A word is scored once per task for all languages, a
-segment by the sum over its words; the language of lowest cross-entropy per character wins, unless that or its
-distance to the next is out of the range calibrated on texts that were held out: such a segment is `und`, written in none
-of the languages. Confidence is calibrated on the same texts.
+segment by the sum over its words; the language of lowest cross-entropy per character wins, unless its calibrated
+limit is passed: a segment that costs as much as a language's unseen words do is `und`, written in none of the languages.
+Confidence is calibrated on texts that were held out.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ UNKNOWN = "und"
 ORDER = 5
 #: Letters and spaces from which a segment alone can be told to be in none of the languages.
 TOLD = 24
+#: Deviations beyond a limit from which a few letters do.
+FAR = 8.0
 WORDS = re.compile(r"[^\W\d_]+")
 #: Ends of segments: ends of sentences, fields and lines.
 SEGMENTS = re.compile(r"(?<=[.!?…])\s+|[。！？;|\n\r]+|\s[–/]\s|//")
@@ -67,7 +69,7 @@ class Tongues:
                 kept = {k: [t for t in v if self.language(t) == k] or v for k, v in samples.items()}
             fitted = {k: [t for i, t in enumerate(v) if i % 10 or len(v) < 10] for k, v in kept.items()}
             self._count(fitted)
-        self._calibrate({k: [t for i, t in enumerate(v) if not i % 10] for k, v in kept.items()})
+        self._calibrate({k: [t for i, t in enumerate(v) if not i % 10] for k, v in kept.items()}, fitted)
 
     def _count(self, samples: dict[str, list[str]]) -> None:
         self.cache: dict[str, int] = {}
@@ -177,42 +179,55 @@ class Tongues:
             out[row[heads]] = np.add.reduceat(self.kept[0][ids], heads, axis=0)
         return out, np.array([sum(map(len, s)) + len(s) for s in split]), count
 
-    def _calibrate(self, held: dict[str, list[str]]) -> None:
-        """Limits of rejection and the confidence of a lead, from segments of texts held out.
+    def _calibrate(self, held: dict[str, list[str]], fitted: dict[str, list[str]]) -> None:
+        """Limits of rejection, and the confidence of a lead.
 
-        The cross-entropy per character of a segment in its own language varies about the language's mean with a part that
-        shrinks with its length; beyond the deviation that one in a thousand of the held-out segments of all languages
-        passes, a segment is none of the language. Confidence is the logistic regression, on the same segments, of the best
-        language being the labelled one on the logarithm of its lead; two counts of either outcome are added, so no lead is certain.
+        The limit of a language is what its own unseen words cost: models of one half of the words (by hash) give the mean
+        cross-entropy per character of the other half in running text (but never less than nearly all held-out segments cost). A text of new subjects still has the words that all
+        texts of its language share and stays below; a text of another language has none of them. Confidence is the
+        logistic regression, on segments of texts held out, of the best language being the labelled one on the logarithm
+        of its lead; texts with a clear segment in another language than their label's are left out, and two counts of
+        either outcome are added, so no lead is certain.
         """
         L = len(self.names)
-        self.mean, self.spread_, self.limit, self.slope = np.zeros(L), (0.0, np.inf), np.inf, (1.0, 0.0)
-        rows = [(j, x) for j, name in enumerate(self.names) for t in held.get(name, ()) for x in segments(t)]
-        if not rows:
-            return
-        own = np.array([j for j, _ in rows])
-        score, chars, words = self.scores([x for _, x in rows])
-        told = (chars >= TOLD) & (words > 1)
-        own, score, chars = own[told], score[told], chars[told]
-        if len(own) < 20:
+        self.limit, self.apart, self.slope = np.full(L, np.inf), 1.0, (1.0, 0.0)
+        mine = lambda w: _hash(w, 7) >> 63 == 0
+        half = Tongues.__new__(Tongues)
+        half.names = self.names
+        half._count({k: [" ".join(filter(mine, WORDS.findall(t.lower()))) for t in fitted.get(k, ())] for k in self.names})
+        spread_ = []
+        for j, name in enumerate(self.names):
+            rest = [" ".join(w for w in WORDS.findall(x.lower()) if not mine(w)) for t in fitted.get(name, ())[:60] for x in segments(t)]
+            score, chars, _ = half.scores([x for x in rest if len(x) >= TOLD])
+            if len(score) >= 20:
+                e = -score[:, j] / chars
+                self.limit[j] = float(e.mean())
+                spread_.append(e.std())
+            seen, n, words = self.scores([x for t in held.get(name, ()) for x in segments(t)])
+            seen = -seen[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j), j] / n[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j)] if len(n) else n
+            if len(seen) >= 20:
+                self.limit[j] = max(self.limit[j], float(np.quantile(seen, 0.999))) if self.limit[j] < np.inf else np.inf
+        if spread_:
+            self.apart = float(np.mean(spread_))
+        x, y = [], []
+        for j, name in enumerate(self.names):
+            for t in held.get(name, ()):
+                score, chars, _ = self.scores(segments(t))
+                score = score[chars > 0]
+                if not len(score):
+                    continue
+                lead, right = self._lead(score), score.argmax(1) == j
+                if not (~right & (lead >= 9)).any():
+                    x += lead.tolist()
+                    y += right.tolist()
+        if len(x) < 20:
             return
-        best, lead = score.argmax(1), self._lead(score)
-        fit = best == own  # segments in another language than their text's label say nothing of the label's model
-        e = -score[np.arange(len(own)), own] / chars
-        for j in range(L):
-            mine = e[fit & (own == j)]
-            self.mean[j] = mine.mean() if len(mine) >= 5 else e[fit].mean()
-        r, n = (e - self.mean[own])[fit], chars[fit]
-        a = np.stack((np.ones(len(n)), 1 / n), 1)
-        base, per = np.maximum(np.linalg.lstsq(a, r**2, rcond=None)[0], (1e-4, 1e-3))
-        self.spread_ = (float(base), float(per))
-        self.limit = max(4.0, float(np.quantile(r / np.sqrt(base + per / n), 0.999)))
-        x, y, weight = np.log(np.r_[lead, 1.0, 1.0, 50.0, 50.0] + 1e-3), np.r_[fit, 1, 0, 1, 0].astype(float), np.r_[np.ones(len(fit)), 1, 1, 1, 1]
+        x, y = np.log(np.r_[x, 1.0, 1.0, 50.0, 50.0] + 1e-3), np.r_[y, 1, 0, 1, 0].astype(float)
         w = np.zeros(2)
         for _ in range(30):  # Newton steps of a regression of two numbers
             p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-            g = np.array([((p - y) * weight * x).sum() + 1e-3 * w[0], ((p - y) * weight).sum()])
-            v = weight * p * (1 - p)
+            g = np.array([((p - y) * x).sum() + 1e-3 * w[0], (p - y).sum()])
+            v = p * (1 - p)
             w -= np.linalg.solve(np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-6]]), g)
         self.slope = (float(w[0]), float(w[1]))
 
@@ -228,10 +243,10 @@ class Tongues:
         w, b = self.slope
         return np.where(gap > 0, 1 / (1 + np.exp(-(w * np.log(np.maximum(gap, 0) + 1e-3) + b))), 0.5 / (1 + np.maximum(-gap, 0)))
 
-    def _far(self, score: np.ndarray, chars: np.ndarray) -> np.ndarray:
-        """Deviation of each segment from each language's cross-entropy, in standard deviations of a segment of its length."""
-        n = np.maximum(1, chars)[:, None]
-        return (-score / n - self.mean) / np.sqrt(self.spread_[0] + self.spread_[1] / n) if self.spread_[1] < np.inf else np.zeros(score.shape)
+    def _beyond(self, score: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """By how many deviations each segment's best language is beyond its limit."""
+        best = score.argmax(1) if score.size else np.zeros(len(score), np.int64)
+        return (-score[np.arange(len(score)), best] / np.maximum(1, chars) - self.limit[best]) / self.apart
 
     def language(self, text: str) -> str | None:
         s, n, _ = self.scores([text])
@@ -240,26 +255,25 @@ class Tongues:
     def read(self, texts: list[list[str]], least: int = 4, margin: float = 9.0) -> list[list[tuple[int, str, float]]]:
         """For each text (a list of segments): (segment, language, confidence) of every segment that has letters.
 
-        A segment of TOLD letters or more whose best language is beyond the calibrated limit is UNKNOWN: it is written in none
-        of the languages; its confidence is how far it is beyond. A segment is clear where its language beats every other by
+        A segment of TOLD letters or more (or of a few that are FAR off) whose best language is beyond the calibrated limit is
+        UNKNOWN: it is written in none of the languages; its confidence is how far it is beyond. A segment is clear where its language beats every other by
         `margin` (the logarithm of how much more probable it is), with `least` words or a dozen letters, and is not unknown.
         Other segments take the most probable of the languages of clear ones; a text without any takes the language of
         the whole, and is unknown where all its segments of that length are.
         """
         flat = [s for t in texts for s in t]
         score, chars, words = self.scores(flat)
-        lead, far = self._lead(score) if len(flat) else score, self._far(score, chars)
+        lead, far = (self._lead(score), self._beyond(score, chars)) if flat and self.names else (chars, chars)
         out, at = [], 0
         for t in texts:
             part = slice(at, at + len(t))
-            sc, ch, wo, le, fa = score[part], chars[part], words[part], lead[part], far[part]
+            sc, ch, wo, le, beyond = score[part], chars[part], words[part], lead[part], far[part]
             at += len(t)
             if not ch.sum() or not self.names:
                 out.append([])
                 continue
             best = sc.argmax(1)
-            beyond = fa[np.arange(len(t)), best] - self.limit
-            told = (ch >= TOLD) & (wo > 1)
+            told = (ch >= TOLD) & (wo > 1) | (ch >= 6) & (beyond > FAR)
             none = told & (beyond > 0)
             clear = (le >= margin) & ((wo >= least) | (ch >= 12)) & ~none
             # doubtful segments take one of the languages that clear ones have, or that of the whole text
