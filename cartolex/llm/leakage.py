@@ -76,7 +76,7 @@ class ItemIndex:
         if not self.usable:
             return
         # The longest q whose bound still is two or more; with edits a shorter one, whose bound is worth counting up to.
-        self.q = max(1, min((self.length - 1) // (edits + 1), LONGEST) if edits else self.length - 1)
+        self.q = max(1, min((self.length - 1) // (edits + 1), LONGEST))
         self.bound = max(1, self.length + 1 - self.q * (edits + 1))
         parts = [(_grams(_codes(t), self.q), k) for k, t in enumerate(self.norms)]
         gram = np.concatenate([g for g, _ in parts])
@@ -93,8 +93,11 @@ class ItemIndex:
     def _runs(self, w: list[str]) -> set[tuple[str, ...]]:
         return {tuple(w[i : i + self.words]) for i in range(len(w) - self.words + 1)}
 
-    def candidates(self, texts: list[str]) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(text, item, places in the text, places in the item): the hits of every band of a text that reach the bound."""
+    def candidates(self, texts: list[str], exact: bool = False) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(text, item, places in the text, places in the item): the hits of every band of a text that reach the bound.
+
+        With `exact`, of bands that also have as many hits in a row on one diagonal as an untouched passage has.
+        """
         if not self.usable or not texts:
             return []
         sizes = np.array([len(t) for t in texts], np.int64)
@@ -127,16 +130,25 @@ class ItemIndex:
             pos = a[rep] - start[d]
             diag = pos - self.place[src] + (1 << 20)
             width = max(1, 2 * self.edits)
-            for shift in (0, width) if self.edits else (0,):  # bands of two widths that overlap by one
-                band = (diag + shift) // (2 * width) if self.edits else diag
-                key = np.lexsort((pos, band, it, d))
-                kd, ki, kb, kp, kf = d[key], it[key], band[key], pos[key], self.place[src][key]
+            # bands of two widths that overlap by one; an untouched passage keeps to one diagonal, which lies in either
+            for shift in (0,) if exact else (0, width):
+                band = (diag + shift) // (2 * width)
+                key = np.lexsort((pos, diag, band, it, d))
+                kd, ki, kb, kg, kp = d[key], it[key], band[key], diag[key], pos[key]
                 new = np.ones(len(key), bool)
                 new[1:] = (kd[1:] != kd[:-1]) | (ki[1:] != ki[:-1]) | (kb[1:] != kb[:-1])
                 head = np.flatnonzero(new)
                 hits = np.diff(np.append(head, len(key)))
-                for h, c in zip(head[hits >= self.bound], hits[hits >= self.bound]):
-                    out.append((int(kd[h]), int(ki[h]), kp[h : h + c], kf[h : h + c]))
+                good = hits >= self.bound
+                if exact:
+                    cut = new.copy()
+                    cut[1:] |= (kg[1:] != kg[:-1]) | (kp[1:] != kp[:-1] + 1)
+                    run = np.cumsum(cut) - 1
+                    good &= np.maximum.reduceat(np.bincount(run)[run], head) >= self.length + 1 - self.q
+                for h, c in zip(head[good], hits[good]):
+                    mine = key[h : h + c]
+                    mine = mine[np.argsort(pos[mine], kind="stable")]
+                    out.append((int(kd[h]), int(ki[h]), pos[mine], self.place[src[mine]]))
             lo = hi
         return out
 
@@ -244,7 +256,7 @@ class ItemIndex:
         """{(text, item): (size, edits)} of the texts' largest verified regions, for the pairs `wanted` where these are given."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
         by: dict[tuple[int, int], list[tuple[np.ndarray, np.ndarray]]] = {}
-        for d, it, at, place in self.candidates(texts):
+        for d, it, at, place in self.candidates(texts, exact):
             if wanted is None or (d, it) in wanted:
                 by.setdefault((d, it), []).append((at, place))
         for (d, it), spans in by.items():
