@@ -1,10 +1,10 @@
 """Problem 7: the main body of pages whose text is mixed with page furniture.
 
-A page is rendered by its layout: HTML goes through a tree builder with implied tags and visibility rules, which
-emits visible text with block spacing, list marks and aligned table cells; text that is already rendered is read
-back into the same shapes (rows of cells, list items, trails, blocks between blank lines). Furniture is what the
-shapes and the fixed phrases of such lines show to be menus, trails, notices, teasers and footers. Lines are judged
-alone and by their neighbours in the page only, so pages are independent of each other.
+HTML goes through a tree builder with implied tags and visibility rules, which emits visible text with block spacing,
+list marks and aligned table cells. Text that is already rendered is read back into that layout: blocks between blank
+lines, rows of cells, list items, trails. A regularised linear classifier then judges every line by its layout and that of
+its neighbours and by hashed n-grams. It is fitted on a bounded sample of texts whose lines are labelled weakly, by shapes
+and fixed phrases of notices; the phrases label the sample only and judge no line.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtime import spread
+from .linear import Hasher, fit, scores
+from .overlap import slices
 
 # --- HTML -------------------------------------------------------------------------------------------------------
 
@@ -188,8 +190,8 @@ def _notice(x: str) -> bool:
     return len(x.split()) <= SHORT_LINE and bool(HOST.search(x) or PHRASE.search(x.lower()))
 
 
-def furniture(text: str) -> list[bool]:
-    """Of each line (split at line feeds): whether it is page furniture. Blank lines are not."""
+def weak_furniture(text: str) -> list[bool]:
+    """Weak labels of a text's lines (split at line feeds), by shapes and phrases: whether they are furniture. Blank lines are not."""
     lines = text.split("\n")
     bare = [BULLET.sub("", x).strip() for x in lines]
     out = []
@@ -215,23 +217,127 @@ def furniture(text: str) -> list[bool]:
     return out
 
 
-def main_body(text: str) -> str:
+FLAGS = (
+    "row of cells", "cells", "trail", "list item", "short", "in a run of items", "ended", "cut off", "copyright", "names a host", "1 or 2 words", "to 6 words", "to 14 words", "more words",
+    "blank before", "blank after", "short before", "short after", "first lines", "last lines",
+)
+#: Rows that the classifier of lines is fitted on at most.
+FIT_ROWS = 4_000
+#: Characters of text whose features are held at once.
+AT_ONCE = 1_000_000
+
+
+def layout_of(text: str) -> tuple[list[int], list[str], np.ndarray]:
+    """(line numbers, lines, flags) of the lines of a text that are not blank; hosts are written as `host`."""
+    lines = text.split("\n")
+    bare = [BULLET.sub("", x).strip() for x in lines]
+    filled = [k for k, x in enumerate(bare) if x]
+    n = len(filled)
+    short = [_short(bare[k]) for k in filled]
+    cells = [[c for c in CELLS.split(lines[k].strip()) if c.strip()] for k in filled]
+    row = [len(c) >= 2 and all(map(_short, c)) for c in cells]
+    item = [bool(BULLET.match(lines[k])) for k in filled]
+    run, i = [False] * n, 0
+    while i < n:
+        end = i
+        while end < n and short[end] and (item[end] or row[end]):
+            end += 1
+        if end - i >= 3:
+            run[i:end] = [True] * (end - i)
+        i = max(end, i + 1)
+    flags, out = np.zeros((n, len(FLAGS)), bool), []
+    for p, k in enumerate(filled):
+        x = bare[k]
+        words = x.count(" ") + 1
+        host = "." in x and bool(HOST.search(x))
+        flags[p] = (
+            row[p], len(cells[p]) >= 2, x.count(" > ") >= 2, item[p], short[p], run[p], bool(ENDED.search(x)), bool(CUT.search(x)), bool(COPYRIGHT.search(x)), host,
+            words <= 2, 3 <= words <= 6, 7 <= words <= 14, words > 14, k == 0 or not bare[k - 1], k + 1 == len(bare) or not bare[k + 1], p > 0 and short[p - 1], p + 1 < n and short[p + 1], p < 2, p >= n - 3,
+        )
+        out.append(HOST.sub("host", x) if host else x)
+    return filled, out, flags
+
+
+class Lines:
+    """The classifier of lines; `furniture` judges whole texts."""
+
+    def __init__(self) -> None:
+        self.hasher = Hasher(bits=18, flags=len(FLAGS))
+        self.weights, self.bias = np.zeros(self.hasher.width, np.float32), -1.0
+
+    def fit(self, texts: list[str]) -> Lines:
+        parts = [layout_of(t) for t in texts]
+        y = [np.array(weak_furniture(t), bool)[p[0]] for t, p in zip(texts, parts) if p[0]]
+        if y:
+            lines, labels = [x for p in parts for x in p[1]], np.concatenate(y).astype(float)
+            w, self.bias = fit(self.hasher(lines, np.concatenate([p[2] for p in parts if p[0]])), labels, self.hasher.width)
+            self.weights = w.astype(np.float32)
+        return self
+
+    def furniture(self, texts: list[str]) -> list[np.ndarray]:
+        """Of each line of each text (split at line feeds): whether it is page furniture. Blank lines are not."""
+        return [x for lo, hi in slices(texts, AT_ONCE) for x in self._furniture(texts[lo:hi])]
+
+    def _furniture(self, texts: list[str]) -> list[np.ndarray]:
+        parts = [layout_of(t) for t in texts]
+        lines = [x for p in parts for x in p[1]]
+        score = scores(self.weights, self.bias, len(lines), self.hasher(lines, np.concatenate([p[2] for p in parts]))) if lines else np.zeros(0)
+        out, at = [], 0
+        for t, (filled, _, _) in zip(texts, parts):
+            mine = np.zeros(t.count("\n") + 1, bool)
+            mine[filled] = score[at : at + len(filled)] > 0
+            at += len(filled)
+            out.append(mine)
+        return out
+
+
+def sample(df: DataFrame, id_col: str, text_col: str, status_col: str, most: int = FIT_ROWS) -> list[tuple[str, str | None]]:
+    """(text, status) of the `most` rows of smallest hashed id: a bounded sample that does not depend on how the table is stored."""
+    known = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"), F.col(status_col).alias("status"))
+    # Few more rows than wanted pass a cut of the hash, so that tasks send the driver little beyond the sample.
+    share = min(1.0, 1.5 * most / max(1, known.count()))
+    cut = int(-(1 << 63) + share * ((1 << 64) - 1))
+    rows = known.where(F.col("h") <= min(cut, (1 << 63) - 1)).orderBy("h", "text").limit(most).collect()
+    return [(r["text"], r["status"]) for r in rows]
+
+
+def fitted(df: DataFrame, id_col: str = "page_id", text_col: str = "website_text", status_col: str = "website_text_status", most: int = FIT_ROWS) -> Lines:
+    """The classifier of lines, fitted on the sampled texts of status `success`."""
+    return Lines().fit([t for t, s in sample(df, id_col, text_col, status_col, most) if s == "success"])
+
+
+MARKUP = re.compile(r"<(?:p|div|li|body|table|br)\b", re.I)
+
+
+def rendered(text: str) -> str:
+    """A text as it is, or what its mark-up shows."""
+    return render(text) if "</" in text and MARKUP.search(text) else text
+
+
+def body_of(text: str, away: np.ndarray) -> str:
     """The lines that are not furniture, block spacing kept, no blank line twice."""
-    if "</" in text and re.search(r"<(?:p|div|li|body|table|br)\b", text, re.I):
-        text = render(text)
-    kept = "\n".join(x.rstrip() for x, f in zip(text.split("\n"), furniture(text)) if not f)
+    kept = "\n".join(x.rstrip() for x, f in zip(text.split("\n"), away) if not f)
     return re.sub(r"\n{3,}", "\n\n", kept).strip("\n")
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, cols, nos = [], [], []
-        for i, c, t in zip(b.column("page").to_pylist(), b.column("col").to_pylist(), b.column("text").to_pylist()):
-            marks = np.flatnonzero(furniture(t))
-            ids += [i] * len(marks)
-            cols += [c] * len(marks)
-            nos += marks.tolist()
-        yield pa.record_batch({"page_id": pa.array(ids, pa.int64()), "col_name": pa.array(cols, pa.string()), "line_no": pa.array(nos, pa.int64())})
+def _find(lines: Lines, skip: object | None):
+    """Rows (page_id, col_name, line_no); with `skip` texts of the first column that it judges to be no page at all have none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pages, cols, texts = (b.column(c).to_pylist() for c in ("page", "col", "text"))
+            marks = lines.furniture(texts)
+            if skip is not None:
+                at = [k for k, c in enumerate(cols) if c == COLUMNS[0][0]]
+                for k, case in zip(at, skip.judge([texts[k] for k in at], [marks[k] for k in at])):
+                    if case:
+                        marks[k] = marks[k][:0]
+            nos = [np.flatnonzero(m) for m in marks]
+            who = np.repeat(np.arange(len(texts)), [len(x) for x in nos])
+            rows = pa.array(who, pa.int64())
+            yield pa.record_batch({"page_id": b.column("page").take(rows), "col_name": b.column("col").take(rows), "line_no": pa.array(np.concatenate(nos) if nos else [], pa.int64())})
+
+    return run
 
 
 def _texts(df: DataFrame, id_col: str, columns: tuple[tuple[str, str], ...]) -> DataFrame:
@@ -244,20 +350,26 @@ def _texts(df: DataFrame, id_col: str, columns: tuple[tuple[str, str], ...]) ->
 COLUMNS = (("website_text", "website_text_status"), ("contact_website_text", "contact_website_text_status"))
 
 
-def furniture_lines(df: DataFrame, id_col: str = "page_id", columns: tuple[tuple[str, str], ...] = COLUMNS) -> DataFrame:
+def furniture_lines(df: DataFrame, lines: Lines, id_col: str = "page_id", columns: tuple[tuple[str, str], ...] = COLUMNS, skip: object | None = None) -> DataFrame:
     """(page_id, col_name, line_no) of every line that is page furniture, in texts whose status is `success`.
 
-    Null ids, texts and statuses give no row; a text without lines, or an empty table, gives none; repeated rows give
+    With `skip`, a judge of pages, texts of the first column that it takes for no page have no row; it is asked in the same
+    pass. Null ids, texts and statuses give no row; a text without lines, or an empty table, gives none; repeated rows give
     repeated lines. One pass, no shuffle.
     """
-    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_find, "page_id long, col_name string, line_no long")
+    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_find(lines, skip), "page_id long, col_name string, line_no long")
+
 
+def _bodies(lines: Lines):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [rendered(t) for t in b.column("text").to_pylist()]
+            bodies = [body_of(t, m) for t, m in zip(texts, lines.furniture(texts))]
+            yield pa.record_batch({"page_id": b.column("page"), "col_name": b.column("col"), "body": pa.array(bodies, pa.string())})
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.record_batch({"page_id": b.column("page"), "col_name": b.column("col"), "body": pa.array([main_body(t) for t in b.column("text").to_pylist()], pa.string())})
+    return run
 
 
-def bodies(df: DataFrame, id_col: str = "page_id", columns: tuple[tuple[str, str], ...] = COLUMNS) -> DataFrame:
+def bodies(df: DataFrame, lines: Lines, id_col: str = "page_id", columns: tuple[tuple[str, str], ...] = COLUMNS) -> DataFrame:
     """(page_id, col_name, body): the main body of every text of status `success`; '' where there is none. HTML is rendered first."""
-    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_bodies, "page_id long, col_name string, body string")
+    return spread(_texts(df, id_col, columns).select("page", "col", "text")).mapInArrow(_bodies(lines), "page_id long, col_name string, body string")

@@ -1,9 +1,10 @@
 """Problem 4: unfilled templates, filler text, error pages and notices that scripts are required.
 
 Two regularised linear classifiers judge the sentences of a page by hashed n-grams, length and title features: one
-tells filler and unfilled slots, one tells messages of servers and browsers from content. Labels are weak: fixed
-phrases and shapes, the response status, and how much text stands around. A page is a case where some sentence is
-filler, or where messages outweigh content once furniture is set aside.
+tells filler and unfilled slots, one tells messages of servers and browsers from content. They are fitted on a bounded
+sample with weak labels: fixed phrases and shapes, the response status, and how much text stands around. Phrases label
+the sample only; pages are judged by the classifiers alone. A page is a case where some sentence is filler, or where
+messages outweigh content once furniture is set aside.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtime import spread
-from .layout import HOST, furniture
+from .layout import AT_ONCE, FIT_ROWS, HOST, Lines, sample
 from .linear import Hasher, fit, scores
+from .overlap import slices
 
 # Shapes of slots that template languages leave behind.
 NAME = r"[A-Za-z]+(?:[_.-][A-Za-z]+)*"
@@ -56,11 +58,12 @@ MESSAGE = re.compile(
     r"javascript aan om|browser blokkeert|bestaat niet|toegang geweigerd|in onderhoud, terug|interne fout|sessie is verlopen"
 )
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
-FLAGS = ("slot", "filler phrase", "message phrase", "repeated word", "first line", "unended", "few words", "many words", "names a host", "digits only")
-#: Rows that the classifiers are fitted on at most, and words of content from which a page is taken for a real one.
-FIT_ROWS, REAL = 4_000, 60
-#: Sentences of content among them that are fitted at most, evenly picked.
-FIT_CONTENT = 15_000
+#: Features of a sentence besides its words; none of them asks for a phrase.
+FLAGS = ("slot", "repeated word", "first line", "unended", "few words", "many words", "names a host", "digits only", "furniture")
+#: Words of content from which a page of the sample is taken for a real one.
+REAL = 60
+#: Sentences of content in the sample that are fitted at most, evenly picked.
+FIT_CONTENT = 30_000
 #: Score of the message classifier under which a sentence is clearly content.
 UNSURE = -1.5
 #: Score of the filler classifier from which one sentence makes its page a case.
@@ -72,67 +75,64 @@ def _repeated(words: list[str]) -> bool:
     return len(words) >= 4 and len(set(words)) * 3 <= len(words)
 
 
-def sentences(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Sentences outside furniture, their flags, and for each whether its line is furniture but may hold a message."""
-    out, flags, side = [], [], []
+def sentences(text: str, furniture: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """(sentences, flags) of a text whose furniture is told by line; hosts are written as `host`."""
+    out, flags = [], []
     first = True
-    for line, away in zip(text.split("\n"), furniture(text)):
+    for line, away in zip(text.split("\n"), furniture):
         line = line.strip()
         if not line:
             continue
         for s in SENTENCE.split(line):
-            low = s.lower()
-            words = low.split()
+            words = s.lower().split()
             if not words:
                 continue
-            message, filler = bool(MESSAGE.search(low)), bool(FILLER.search(low))
             slot = not SIGNS.isdisjoint(s) and bool(SLOT.search(s))
-            if away and not (message or slot or filler):
-                continue
             host = "." in s[:-1] and bool(HOST.search(s))
             out.append(HOST.sub("host", s) if host else s)
-            flags.append((
-                slot, filler, message, _repeated(words), first, not s[-1] in ".!?…", len(words) <= 4,
-                len(words) >= 9, host, not any(c.isalpha() for c in s),
-            ))
-            side.append(away)
+            flags.append((slot, _repeated(words), first, s[-1] not in ".!?…", len(words) <= 4, len(words) >= 9, host, not any(c.isalpha() for c in s), away))
         first = False
-    return out, np.array(flags, bool).reshape(len(out), len(FLAGS)), np.array(side, bool)
+    return out, np.array(flags, bool).reshape(len(out), len(FLAGS))
 
 
 def weak_labels(flags: np.ndarray, texts: list[str], status: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(filler, message) labels of the sentences of one page: 1, 0, or -1 for unknown."""
+    """(filler, message) labels of the sentences of one page of the sample: 1, 0, or -1 for unknown."""
     sizes = np.array([len(t.split()) for t in texts])
-    slot, fill, message, repeat = flags[:, 0], flags[:, 1], flags[:, 2], flags[:, 3]
+    low = [t.lower() for t in texts]
+    fill, message = np.array([bool(FILLER.search(t)) for t in low], bool), np.array([bool(MESSAGE.search(t)) for t in low], bool)
+    slot, repeat, away = flags[:, 0], flags[:, 1], flags[:, -1]
     marked = slot | fill | repeat
+    told = slot | fill | message
     lorem = np.zeros(len(texts), bool)
     on = False
-    for k, t in enumerate(texts):
-        on = on or "lorem ipsum" in t.lower()
-        lorem[k] = on and not flags[k, 2]
-    filler = np.where(marked, 1, np.where(marked.any(), np.where(lorem & (sizes <= 14), 1, -1), 0))
-    content = int(sizes[~(marked | message)].sum())
+    for k, t in enumerate(low):
+        on = on or "lorem ipsum" in t
+        lorem[k] = on and not message[k]
+    main = ~away | told  # furniture that no phrase names is neither
+    filler = np.where(marked, 1, np.where((marked & main).any(), np.where(lorem & (sizes <= 14), 1, -1), 0))
+    content = int(sizes[main & ~(marked | message)].sum())
     failed = status is not None and status not in ("success", "empty")
-    if message.any() and (content < 30 or failed and content < REAL):
+    if (message & main).any() and (content < 30 or failed and content < REAL):
         said = np.where(marked, -1, 1)
     elif content >= REAL:
         said = np.where(message | marked, -1, 0)
     else:
         said = np.where(message, 1, np.where(marked | failed, -1, 0))
-    return filler, said
+    return np.where(main, filler, 0), np.where(main, said, 0)
 
 
 class Model:
-    """The two classifiers; `judge` tells which texts are cases."""
+    """The two classifiers, and the one of lines that tells furniture; `judge` tells which texts are cases."""
 
-    def __init__(self) -> None:
+    def __init__(self, lines: Lines | None = None) -> None:
+        self.lines = lines or Lines()
         self.hasher = Hasher(bits=16, flags=len(FLAGS))
         self.weights: list[tuple[np.ndarray, float]] = []
 
-    def fit(self, rows: list[tuple[str, str | None]]) -> "Model":
+    def fit(self, rows: list[tuple[str, str | None]]) -> Model:
         texts, flags, fillers, said = [], [], [], []
-        for text, status in rows:
-            s, f, _ = sentences(text)
+        for (text, status), away in zip(rows, self.lines.furniture([t for t, _ in rows])):
+            s, f = sentences(text, away)
             if s:
                 a, b = weak_labels(f, s, status)
                 texts += s
@@ -140,17 +140,12 @@ class Model:
                 fillers.append(a)
                 said.append(b)
         all_flags = np.concatenate(flags) if flags else np.zeros((0, len(FLAGS)), bool)
-        for k, found in enumerate((fillers, said)):
+        for found in (fillers, said):
             y = np.concatenate(found) if found else np.zeros(0, int)
             at = np.flatnonzero(y >= 0)
             many = at[y[at] == 0]
             at = np.sort(np.concatenate((at[y[at] == 1], many[:: 1 + len(many) // FIT_CONTENT])))
-            prior = np.zeros(self.hasher.width)
-            base = 1 << self.hasher.bits
-            # What the shapes and phrases say holds until the sample says otherwise.
-            prior[base : base + 4] = (8, 6, -2, 5) if k == 0 else (-4, -4, 5, 0)
-            triples = self.hasher([texts[i] for i in at], all_flags[at])
-            self.weights.append(fit(triples, y[at].astype(float), self.hasher.width, prior))
+            self.weights.append(fit(self.hasher([texts[i] for i in at], all_flags[at]), y[at].astype(float), self.hasher.width))
         return self
 
     def scores(self, texts: list[str], flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,20 +153,25 @@ class Model:
         filler, said = (scores(w, b, len(texts), triples) for w, b in self.weights)
         return filler, said
 
-    def judge(self, pages: list[str]) -> np.ndarray:
-        parts = [sentences(p) for p in pages]
+    def judge(self, pages: list[str], furniture: list[np.ndarray] | None = None) -> np.ndarray:
+        """Which pages are cases; their furniture is told anew unless it is given."""
+        furniture = self.lines.furniture(pages) if furniture is None else furniture
+        return np.concatenate([np.zeros(0, bool), *(self._judge(pages[lo:hi], furniture[lo:hi]) for lo, hi in slices(pages, AT_ONCE))])
+
+    def _judge(self, pages: list[str], furniture: list[np.ndarray]) -> np.ndarray:
+        parts = [sentences(p, f) for p, f in zip(pages, furniture)]
         texts = [s for p in parts for s in p[0]]
         out = np.zeros(len(pages), bool)
         if not texts:
             return out
         filler, said = self.scores(texts, np.concatenate([p[1] for p in parts]))
         at = 0
-        for k, (s, f, away) in enumerate(parts):
-            n = len(s)
+        for k, (s, f) in enumerate(parts):
+            n, away = len(s), f[:, -1]
             size = np.array([len(t.split()) for t in s])
             fill, msg = filler[at : at + n] > FILLED, said[at : at + n] > 0
+            plain = said[at : at + n] < UNSURE  # what is neither a message nor clearly content weighs for neither
             at += n
-            plain = said[at - n : at] < UNSURE  # what is neither a message nor clearly content weighs for neither
             words_said = int(size[msg & ~fill].sum())
             apart = int(size[msg & ~fill & ~away].sum())  # a notice among furniture is no match for real content
             real = plain & ~fill & ~away
@@ -182,15 +182,9 @@ class Model:
 
 
 def fitted(df: DataFrame, id_col: str = "page_id", text_col: str = "website_text", status_col: str = "website_text_status", most: int = FIT_ROWS) -> Model:
-    """Fit on the `most` rows of smallest hashed id: a bounded sample that does not depend on how the table is stored."""
-    known = df.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"), F.col(status_col).alias("status")
-    )
-    # Few more rows than wanted pass a cut of the hash, so that tasks send the driver little beyond the sample.
-    share = min(1.0, 1.5 * most / max(1, known.count()))
-    cut = int(-(1 << 63) + share * ((1 << 64) - 1))
-    rows = known.where(F.col("h") <= min(cut, (1 << 63) - 1)).orderBy("h", "text").limit(most).collect()
-    return Model().fit([(r["text"], r["status"]) for r in rows])
+    """All classifiers, fitted on one bounded sample of rows."""
+    rows = sample(df, id_col, text_col, status_col, most)
+    return Model(Lines().fit([t for t, s in rows if s == "success"])).fit(rows)
 
 
 def _pick(model: Model):

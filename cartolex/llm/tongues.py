@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.runtime import spread
 from . import residue
-from .layout import furniture
+from .layout import Lines
 
 LANGUAGES = ("en", "de", "fr", "es", "it", "pt", "nl", "sv", "pl", "ru", "ja")
 # Codes and names of these languages.
@@ -312,7 +312,8 @@ def _rows(model: Tongues, skip: residue.Model | None, name: str):
         for b in batches:
             ids, labels, texts = (b.column(c).to_pylist() for c in ("id", "label", "text"))
             if skip:
-                texts = ["\n".join(x for x, f in zip(t.split("\n"), furniture(t)) if not f) for t in texts]
+                pages, marks = texts, skip.lines.furniture(texts)
+                texts = ["\n".join(x for x, f in zip(t.split("\n"), m) if not f) for t, m in zip(pages, marks)]
             read = model.read([segments(t) for t in texts])
             rows: list[tuple[int, str]] = []
             for k, (i, label, found) in enumerate(zip(ids, labels, read)):
@@ -325,8 +326,7 @@ def _rows(model: Tongues, skip: residue.Model | None, name: str):
                 if langs and (label is None or len(langs) > 1 or langs[0] != label):
                     rows += [(k, x) for x in langs]
             if skip and rows:
-                pages = b.column("text").to_pylist()
-                case = skip.judge([pages[k] for k, _ in rows])
+                case = skip.judge([pages[k] for k, _ in rows], [marks[k] for k, _ in rows])
                 rows = [r for r, c in zip(rows, case) if not c]
             yield pa.record_batch({
                 "tab_name": pa.array([name] * len(rows), pa.string()),
@@ -375,13 +375,13 @@ def _whole(split: list[str], found: list[tuple[int, str, float]], body: list[boo
     return lang, sum(size[k] * c for k, x, c in kept if x == lang) / max(1, sum(size[k] for k, _, _ in kept))
 
 
-def _read(model: Tongues, whole: bool, pages: bool):
+def _read(model: Tongues, whole: bool, pages: Lines | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = b.column("id").to_pylist(), b.column("text").to_pylist()
             split, bodies = [segments(t) for t in texts], []
             if pages:  # by lines, as furniture is told by lines
-                lines = [[(segments(x), f) for x, f in zip(t.split("\n"), furniture(t))] for t in texts]
+                lines = [[(segments(x), f) for x, f in zip(t.split("\n"), m)] for t, m in zip(texts, pages.furniture(texts))]
                 split = [[s for x, _ in ls for s in x] for ls in lines]
                 bodies = [[not f for x, f in ls for _ in x] for ls in lines]
             rows: list[tuple[int, int | None, str | None, str | None, float]] = []
@@ -395,11 +395,11 @@ def _read(model: Tongues, whole: bool, pages: bool):
     return run
 
 
-def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text", whole: bool = False, pages: bool = False) -> DataFrame:
+def segment_languages(df: DataFrame, model: Tongues, id_col: str = "example_id", text_col: str = "text", whole: bool = False, pages: Lines | None = None) -> DataFrame:
     """(id, segment_no, segment, lang, confidence): every segment with letters, its language and how sure that is.
 
     A segment that no language fits has the language `und`. With `whole` each text that is not null has a row of
-    its own besides, whose segment_no and segment are null; that of `pages` goes by the main body. A text without letters
+    its own besides, whose segment_no and segment are null; with `pages`, a classifier of lines, it goes by the main body. A text without letters
     has language null and confidence 0.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")

@@ -1,8 +1,10 @@
 """Problems on texts: held-out accuracy, fixed cases, and nulls, empties, repeats and clashes."""
 
 import random
+import re
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,14 +50,63 @@ You are here: Home > Places > Oldham
 © 2020 www.oldham.example - All rights reserved"""
 
 
-def test_furniture_by_shape_and_phrase():
-    assert [k for k, f in enumerate(layout.furniture(PAGE)) if f] == [0, 1, 2, 3, 5, 11, 12, 13]
-    assert layout.main_body(PAGE).split("\n")[0] == "Welcome to Oldham" and "crowns" in layout.main_body(PAGE)
+def weak(text):
+    return np.array(layout.weak_furniture(text), bool)
+
+
+def test_weak_labels_by_shape_and_phrase():
+    assert np.flatnonzero(weak(PAGE)).tolist() == [0, 1, 2, 3, 5, 11, 12, 13]
+
+
+@pytest.fixture(scope="module")
+def website(spark):
+    """(host, language, text) of a larger table's pages."""
+    path = "/root/testdata/sf0.1/website.parquet"
+    if not Path(path).exists():
+        pytest.skip("no test data here")
+    rows = spark.read.parquet(path).where("website_text_status = 'success' and website_text is not null").select("website", "website_language", "website_text").collect()
+    return [(re.sub(r"^https?://|^www[.]|/.*$", "", (r[0] or "").lower()), (r[1] or "")[:2], r[2]) for r in rows]
+
+
+@pytest.fixture(scope="module")
+def lines(website):
+    return layout.Lines().fit([t for _, _, t in website[:3000]])
+
+
+def told(lines, texts):
+    """(recall, precision) of lines against their weak labels, which the judged pages' phrases give and no fit has seen."""
+    got = np.concatenate(lines.furniture(texts))
+    want = np.concatenate([weak(t) for t in texts])
+    return (got & want).sum() / want.sum(), (got & want).sum() / got.sum()
+
+
+def test_lines_of_unseen_hosts(website):
+    """No phrase is asked for when a line is judged: hosts of one half are fitted, those of the other half judged."""
+    half = lambda h: sum(map(ord, h)) % 2
+    model = layout.Lines().fit([t for h, _, t in website if half(h)])
+    recall, precision = told(model, [t for h, _, t in website if not half(h)])
+    assert recall > 0.99 and precision > 0.99
+
+
+@pytest.mark.parametrize("lang", ["nl", "it"])
+def test_lines_of_an_unseen_language(website, lang):
+    model = layout.Lines().fit([t for _, x, t in website if x != lang][:2500])
+    recall, precision = told(model, [t for _, x, t in website if x == lang])
+    assert recall > 0.95 and precision > 0.97
+
+
+def test_lines_of_texts_of_its_own(lines):
+    finnish = "Etusivu | Uutiset | Yhteystiedot | Kartta\n\nVanha mylly seisoo joen rannalla ja sen vieressä kasvaa kaksi suurta koivua. Se on auki joka päivä.\n\n* Etusivu\n* Uutiset\n* Kartta\n* Galleria"
+    assert np.flatnonzero(lines.furniture([finnish])[0]).tolist() == [0, 4, 5, 6, 7]
+    prose = "The home page of the mill at www.mill.com is open daily, and the warden who lives there answers all letters. Guests may climb the ladder to the hide."
+    assert not lines.furniture([prose])[0].any()
+    got = set(np.flatnonzero(lines.furniture([PAGE])[0]).tolist())
+    assert got >= {1, 2, 3, 5, 13} and not got & {6, 7, 8, 9, 10}
 
 
 @pytest.mark.parametrize("text", ["", "\n\n", "a", "x" * 300_000, "* a\n* b", "|" * 50, "\r\n \r\n"])
-def test_any_text_has_a_verdict_per_line(text):
-    assert len(layout.furniture(text)) == len(text.split("\n"))
+def test_any_text_has_a_verdict_per_line(lines, text):
+    assert len(weak(text)) == len(lines.furniture([text])[0]) == len(layout.Lines().furniture([text, "b"])[0]) == len(text.split("\n"))
 
 
 def test_html_is_rendered_with_implied_tags_and_hidden_parts():
@@ -64,12 +115,21 @@ def test_html_is_rendered_with_implied_tags_and_hidden_parts():
     assert layout.render("<div>" * 5000 + "deep") == "deep"
 
 
-def test_lines_of_pages(spark):
-    rows = [(1, PAGE, "success", None, None), (2, PAGE, "timeout", "Home", "success"), (3, None, "success", "", "success"), (None, PAGE, "success", None, None), (1, "Home\n", "success", None, "success")]
+def test_lines_of_pages(spark, lines):
+    rows = [(1, PAGE, "success", None, None), (2, PAGE, "timeout", "* Home\n* Map\n* News", "success"), (3, None, "success", "", "success"), (None, PAGE, "success", None, None), (1, "* Home\n* Map\n* News\n", "success", None, "success")]
     df = clash(spark.createDataFrame(rows, "page_id long, website_text string, website_text_status string, contact_website_text string, contact_website_text_status string"))
-    got = sorted(tuple(r) for r in layout.furniture_lines(df).collect())
-    assert got == sorted([(1, "website_text", k) for k in (0, 0, 1, 2, 3, 5, 11, 12, 13)] + [(2, "contact_website_text", 0)])
-    assert layout.bodies(df).count() == 5 - 1 and layout.furniture_lines(df.limit(0)).count() == 0
+    got = sorted(tuple(r) for r in layout.furniture_lines(df, lines).collect())
+    marks = np.flatnonzero(lines.furniture([PAGE])[0]).tolist()
+    assert got == sorted([(1, "website_text", k) for k in (*marks, 0, 1, 2)] + [(2, "contact_website_text", k) for k in (0, 1, 2)])
+    assert layout.bodies(df, lines).count() == 5 - 1 and layout.furniture_lines(df.limit(0), lines).count() == 0
+    body = {r["col_name"]: r["body"] for r in layout.bodies(df.where("page_id = 1"), lines).collect() if r["body"]}["website_text"]
+    assert "Welcome to Oldham" in body and "crowns" in body and "Gallery" not in body
+
+    class All:
+        def judge(self, texts, furniture):
+            return [True] * len(texts)
+
+    assert {r["col_name"] for r in layout.furniture_lines(df, lines, skip=All()).collect()} == {"contact_website_text"}
 
 
 # --- problem 4 ---------------------------------------------------------------------------------------------------
@@ -83,28 +143,50 @@ def test_slots(text, slot):
     assert bool(residue.SLOT.search(text)) is slot
 
 
-def test_classifier_on_unseen_hosts(pages):
-    """Half of the hosts is fitted; on the other half, pages that phrases or shapes tell for sure must be found."""
-    rows = [r for r in pages.where("website_text is not null").select("website", "website_text", "website_text_status").collect()]
-    seen = [(r[1], r[2]) for r in rows if sum(map(ord, str(r[0]))) % 2]
-    model = residue.Model().fit(seen)
-    held = [r for r in rows if not sum(map(ord, str(r[0]))) % 2 and r[2] == "success"]
-    case = model.judge([r[1] for r in held])
-    sure = agree = 0
-    for r, c in zip(held, case):
-        s, f, away = residue.sentences(r[1])
-        if not s:
-            continue
-        words = sum(len(x.split()) for x in s)
-        if f[:, :2].any() or (f[:, 2].any() and words < 20):
-            sure, agree = sure + 1, agree + bool(c)
-        elif not f[:, :4].any() and words > 60:
-            sure, agree = sure + 1, agree + (not c)
-    assert sure > 100 and agree / sure > 0.97
-
-
-def test_messages_beside_content_are_no_case(spark, pages):
-    model = residue.fitted(pages)
+@pytest.fixture(scope="module")
+def statuses(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/website.parquet").where("website_text is not null").select("website", "website_text", "website_text_status").collect()
+    return [(str(r[0]), r[1], r[2]) for r in rows]
+
+
+def surely(text, away):
+    """True for a case and False for a page that phrases and shapes tell for sure, else None. They are no features of the classifiers."""
+    s, f = residue.sentences(text, away)
+    low = " ".join(s).lower()
+    words = len(low.split())
+    marked = f[:, :2].any() or bool(residue.FILLER.search(low))
+    if marked or residue.MESSAGE.search(low) and words < 20:
+        return True
+    return False if s and not residue.MESSAGE.search(low) and words > 60 else None
+
+
+def test_classifier_on_unseen_hosts(lines, statuses):
+    half = lambda h: sum(map(ord, h)) % 2
+    model = residue.Model(lines).fit([(t, s) for h, t, s in statuses if half(h)][:2500])
+    held = [t for h, t, s in statuses if not half(h) and s == "success"]
+    sure = [surely(t, f) for t, f in zip(held, lines.furniture(held))]
+    case = model.judge(held)
+    at = [k for k, x in enumerate(sure) if x is not None]
+    assert sum(sure[k] for k in at) > 80 and sum(bool(case[k]) == sure[k] for k in at) / len(at) > 0.98
+
+
+def test_classifier_on_wordings_it_was_not_told(lines, statuses, monkeypatch):
+    """Every second phrase labels the sample; cases that only the other phrases tell are still found by words they share."""
+    full = residue.FILLER, residue.MESSAGE
+    held = [t for h, t, s in statuses if not sum(map(ord, h)) % 2 and s == "success"]
+    sure = [surely(t, f) for t, f in zip(held, lines.furniture(held))]
+    alternatives = [re.split(r"\|(?![^(]*\))", x.pattern) for x in full]
+    for name, parts in zip(("FILLER", "MESSAGE"), alternatives):
+        monkeypatch.setattr(residue, name, re.compile("|".join(parts[::2])))
+    model = residue.Model(lines).fit([(t, s) for h, t, s in statuses if sum(map(ord, h)) % 2][:2500])
+    fewer = [surely(t, f) for t, f in zip(held, lines.furniture(held))]
+    only = [t for t, a, b in zip(held, sure, fewer) if a and not b]
+    found = model.judge(only).mean()
+    assert len(only) > 10 and found > 0.3
+
+
+def test_messages_beside_content_are_no_case(spark, lines, statuses):
+    model = residue.Model(lines).fit([(t, s) for _, t, s in statuses[:4000]])
     prose = "The path from Alton to Belham crosses the old moor and passes 12 kilns. Schools from Corby come here to fly a kite. Most of the oaks near Delham were planted after 1820. "
     texts = [prose + "Room 4 shows an artwork called Page Not Found, made of oaks.", "Error 404: the page you asked for was not found.", "Please enable JavaScript to run this app.", prose + "Lorem ipsum dolor sit amet.", prose.replace("kilns", "{{ name }}"), "", " \n ", prose * 800]
     assert model.judge(texts).tolist() == [False, True, True, True, True, False, False, False]
