@@ -92,9 +92,10 @@ def grouped_splits(
 ) -> DataFrame:
     """(id, component, new_split): every row with its component and split; a component never spans splits.
 
-    Components of more than LARGE of all rows (so fewer than 1/LARGE) are dealt one by one; all others fall into
-    BUCKETS hash buckets per most frequent label, and whole buckets are dealt. What the driver sees is a count per
-    unit and label: bounded by BUCKETS x `labels_most`, whatever the number of rows; rarer labels count as one.
+    Components of more than LARGE of all rows (so fewer than 1/LARGE) are dealt one by one; all others fall into hash
+    buckets of the components with the same main label, BUCKETS in all but at least 8 a label, and whole buckets are dealt.
+    What the driver sees is a count per unit and label, bounded by BUCKETS and `labels_most`, whatever the number of rows;
+    labels beyond the `labels_most` most frequent ones are balanced as one, which drops no row.
     A row without any entity is a component of its own. An empty table gives an empty result.
     """
     names = [_entity(df, c, k) for k, c in enumerate(columns)]
@@ -106,7 +107,8 @@ def grouped_splits(
     counted = at.groupBy("component", "y").agg(F.count("*").alias("n"))
     whole = rows.count()
     groups = counted.groupBy("component").agg(F.sum("n").alias("n"), F.max_by("y", F.struct("n", "y")).alias("most"))
-    bucket = F.concat(F.lit("b"), F.pmod(F.xxhash64("most"), F.lit(16)), F.lit("-"), F.pmod(F.xxhash64("component"), F.lit(BUCKETS // 16)))
+    each = max(8, BUCKETS // (len(kinds) + 1))
+    bucket = F.concat(F.lit("b"), "most", F.lit("-"), F.pmod(F.xxhash64("component"), F.lit(each)))
     units = materialise(groups.select("component", F.when(F.col("n") > whole * LARGE, F.concat(F.lit("c"), "component")).otherwise(bucket).alias("unit")))
     sums = counted.join(units, "component").groupBy("unit", "y").agg(F.sum("n").alias("n")).collect()
     names_u = sorted({r["unit"] for r in sums})
