@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.runtime import materialise, spread
 from .budget import FILE, TOKENIZERS, tokenizer
 
-#: Hash ranges that documents of one length are ranked in.
-RANGES = 64
+#: Documents that one hash range is made for; documents are ranked and numbered within ranges.
+RANGE_ROWS = 500_000
 
 
 def _count_tokens(folder: str, file: str):
@@ -136,7 +136,9 @@ def containers(
     whole = F.when((F.col("tokens") % capacity == 0) & (full > 0), full - 1).otherwise(full)
     # ranks among equal lengths, by hash ranges, so that no task orders a hot length alone
     items = sized.select("id", "tokens", whole.alias("fulls"), (F.col("tokens") - whole * capacity).alias("size"))
-    items = materialise(items.withColumn("r", F.pmod(F.xxhash64("id"), F.lit(RANGES))))
+    items = materialise(items)
+    ranges = max(64, -(-items.count() // RANGE_ROWS))
+    items = items.withColumn("r", F.pmod(F.xxhash64("id"), F.lit(ranges)))
     per = items.where("size > 0").groupBy("size", "r").agg(F.count("*").alias("n"))
     before = Window.partitionBy("size").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     starts = per.select("size", "r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
@@ -151,9 +153,9 @@ def containers(
     spark = df.sparkSession
     rows = spark.createDataFrame(plan, "size long, first long, past long, per long, base long")
     # Runs of a length are numbered by steps of ranks: a length has few patterns, each pattern one run.
-    ranked = items.where("size > 0").join(F.broadcast(starts), ["size", "r"]).withColumn(
-        "rank", F.col("start") + F.row_number().over(Window.partitionBy("size", "r").orderBy("id")) - 1
-    )
+    # The starts grow with the ranges, so the planner decides how they are joined; a shuffle by (size, r) is there anyway.
+    local = items.where("size > 0").withColumn("local", F.row_number().over(Window.partitionBy("size", "r").orderBy("id")))
+    ranked = local.join(starts, ["size", "r"]).withColumn("rank", F.col("start") + F.col("local") - 1)
     runs = rows.groupBy("size").agg(F.array_sort(F.collect_list(F.struct("first", "past", "per", "base"))).alias("runs"))
     placed = ranked.join(F.broadcast(runs), "size")
     run = F.element_at(F.filter("runs", lambda x: (x["first"] <= F.col("rank")) & (F.col("rank") < x["past"])), 1)
@@ -163,10 +165,17 @@ def containers(
     # Full containers of long documents: named by their document's place in the packed order of long ones.
     long = items.where("fulls > 0").groupBy("r").agg(F.sum("fulls").alias("n"))
     at = long.select("r", (F.coalesce(F.sum("n").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + base).alias("at"))
-    own = items.where("fulls > 0").join(F.broadcast(at), "r").withColumn(
+    own = items.where("fulls > 0").join(at, "r").withColumn(
         "own", F.col("at") + F.coalesce(F.sum("fulls").over(Window.partitionBy("r").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
     own = own.select("id", F.explode(F.sequence(F.lit(0), F.col("fulls") - 1)).alias("part"), F.lit(capacity).cast("long").alias("tokens"), "own").withColumn("container", F.col("own") + F.col("part")).drop("own")
     none = items.where("size <= 0").select("id", F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("tokens"), F.lit(None).cast("long").alias("container"))
     names = [F.col("id").alias(id_col), F.col("part").cast("long").alias("part"), "tokens", F.col("container").cast("long").alias("container")]
     return placed.select(names).unionByName(own.select(names)).unionByName(none.select(names))
+
+
+def fill(placed: DataFrame, capacity: int = 2048) -> DataFrame:
+    """(containers, least, tokens, unused_share, fullest): how well containers are filled. `least` is the fewest that any packing needs by size alone."""
+    by = placed.where("container is not null").groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    unused = F.when(F.count("*") > 0, F.round(1 - F.sum("tokens") / (F.count("*") * capacity), 6))
+    return by.agg(F.count("*").alias("containers"), F.ceil(F.coalesce(F.sum("tokens"), F.lit(0)) / capacity).alias("least"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), unused.alias("unused_share"), F.max("tokens").alias("fullest"))
