@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.splits import assign_split, unit_hash
+from ..functions.runtime import materialise
+from ..functions.splits import assign_split, cell_for, unit_hash
 from ..functions.text import dedup_key, normalise, text_hash, word_count
-from ..schema import AREA_CAP_M2, MIN_WORDS, NULLABLE, RELEASE, SPLITS, THRESHOLD
+from ..schema import AREA_CAP_M2, MIN_WORDS, NULLABLE, RELEASE, SEED, SPLITS, THRESHOLD
 from .labels import label_for
 
 SPLIT_NAMES = tuple(n for n, _ in SPLITS)
@@ -18,21 +19,22 @@ def finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
 
-def is_full_revision(x: Column) -> Column:
-    """Forty lower-case hexadecimal digits."""
-    return F.coalesce(x.rlike("^[0-9a-f]{40}$"), F.lit(False))
+def is_full_revision(x: Column, upper: bool = False) -> Column:
+    """Forty hexadecimal digits, in lower case unless `upper` allows either."""
+    return F.coalesce(x.rlike("^[0-9a-fA-F]{40}$" if upper else "^[0-9a-f]{40}$"), F.lit(False))
 
 
 def report(violations: DataFrame) -> DataFrame:
-    """(code, n, samples): the count and the five smallest culprits of each code of (code, culprit) rows.
+    """(code, n, samples): the count and the five smallest culprits of each code of (code, culprit[, times]) rows.
 
-    Samples are taken from partial ranks, so no code's culprits are gathered in one place.
+    The checks run once: their rows are counted by culprit, with a partial step before the shuffle, and written. Null
+    culprits come last; the group limit of the planner cuts each task's culprits to five before they meet.
     """
-    from pyspark.sql import Window
-
-    ranked = violations.withColumn("rn", F.row_number().over(Window.partitionBy("code").orderBy(F.asc_nulls_last("culprit"))))
-    some = ranked.where(F.col("rn") <= SAMPLES).groupBy("code").agg(F.array_sort(F.collect_list("culprit")).alias("samples"))
-    return violations.groupBy("code").agg(F.count("*").alias("n")).join(some, "code")
+    weight = F.sum("times") if "times" in violations.columns else F.count("*")
+    by = materialise(violations.groupBy("code", F.col("culprit").cast("string").alias("culprit")).agg(weight.alias("n")))
+    ranked = by.withColumn("rn", F.row_number().over(Window.partitionBy("code").orderBy(F.asc_nulls_last("culprit")))).where(F.col("rn") <= SAMPLES)
+    some = ranked.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "culprit"))), lambda x: x["culprit"]).alias("samples"))
+    return by.groupBy("code").agg(F.sum("n").alias("n")).join(some, "code")
 
 
 def _codes(rows: DataFrame, checks: list[tuple[str, Column]], culprit: str = "polygon_id") -> DataFrame:
@@ -41,7 +43,7 @@ def _codes(rows: DataFrame, checks: list[tuple[str, Column]], culprit: str = "po
 
 
 def release_violations(rows: DataFrame, threshold: float = THRESHOLD, least: int = MIN_WORDS) -> DataFrame:
-    """(code, culprit) of every guarantee that a published row or key breaks."""
+    """(code, culprit, times) of every guarantee that a published row or key breaks; a record held n times counts n - 1 times."""
     f, split = F.col("dominant_fraction"), F.col("split")
     within = f.between(0, 1) & ~F.isnan(f)
     label = label_for(F.col("worldcover_code"))
@@ -51,10 +53,11 @@ def release_violations(rows: DataFrame, threshold: float = THRESHOLD, least: int
     ])
     keyed = rows.where("worldcover_code is not null").select("polygon_id", dedup_key(F.col("text"), F.col("worldcover_code")).alias("k"))
     again = keyed.groupBy("polygon_id", "k").agg(F.count("*").alias("n")).where("n > 1")
-    again = again.select(F.lit("duplicate_example").alias("code"), F.col("polygon_id").alias("culprit"), F.explode(F.sequence(F.lit(2), F.col("n").cast("int")))).drop("col")
-    out = single.unionByName(again)
+    again = again.select(F.lit("duplicate_example").alias("code"), F.col("polygon_id").alias("culprit"), (F.col("n") - 1).alias("times"))
+    once = F.lit(1).cast("long").alias("times")
+    out = single.select("code", "culprit", once).unionByName(again)
     for column, code in (("polygon_id", "polygon_leakage"), ("document_id", "document_leakage")):
-        out = out.unionByName(leaking(rows, column).select(F.lit(code).alias("code"), F.col("key").alias("culprit")))
+        out = out.unionByName(leaking(rows, column).select(F.lit(code).alias("code"), F.col("key").alias("culprit"), once))
     return out
 
 
@@ -77,10 +80,35 @@ def audit_violations(rows: DataFrame, settings: dict | None = None) -> DataFrame
         ("unnormalized_text", F.col("text") != normalise(F.col("text"))), ("text_word_count_mismatch", F.col("text").isNotNull() & ~F.col("text_words").eqNullSafe(word_count(F.col("text")))),
     ]
     if s["assignment"]:
-        checks.append(("cell_assignment_mismatch", placed & (assign_split(unit_hash(F.col("h3_cell"))) != F.col("split"))))
+        # recomputed from the place and from the cell; the shares and the seed are those of the release
+        unit = unit_hash(F.col("h3_cell"), s.get("seed", SEED))
+        checks.append(("h3_cell_mismatch", placed & ~cell_for(lat, lon, s.get("resolution", 5)).eqNullSafe(F.col("h3_cell"))))
+        checks.append(("h3_assignment_mismatch", F.col("h3_cell").isNotNull() & ~assign_split(unit, s.get("splits", SPLITS)).eqNullSafe(F.col("split"))))
+    if "file_split" in rows.columns:
+        checks.append(("file_split_mismatch", ~F.col("file_split").eqNullSafe(F.col("split"))))
     return _codes(rows, checks)
 
 
+def whole_violations(rows: DataFrame) -> DataFrame:
+    """(code, culprit) of what only several rows show together: leaking keys, conflicts, repeated records and texts.
+
+    The text is hashed where it is read; only digests are grouped.
+    """
+    narrow = materialise(rows.select("polygon_id", "document_id", "h3_cell", "osm_type", "osm_id", "worldcover_code", "lat", "lon", "polygon_area_m2", "split", F.hex(text_hash(F.col("text"))).alias("text_hash")))
+    parts = [leaking(narrow, c).select(F.lit(f"{c}_leakage").alias("code"), F.col("key").alias("culprit")) for c in ("polygon_id", "document_id", "h3_cell")]
+    parts.append(identity_conflicts(narrow).select(F.lit("object_identity_conflict"), F.concat("osm_type", F.lit(":"), F.col("osm_id").cast("string"))))
+    parts.append(inconsistent_polygons(narrow).select(F.lit("inconsistent_polygon"), "polygon_id"))
+    records = narrow.groupBy("polygon_id", "text_hash", "worldcover_code").agg(F.count("*").alias("n")).where("n > 1")
+    parts.append(records.select(F.lit("duplicate_polygon_text_label_record"), F.concat_ws(":", "polygon_id", "text_hash", F.col("worldcover_code").cast("string"))))
+    texts = narrow.groupBy("text_hash").agg(F.countDistinct("worldcover_code").alias("labels"), F.countDistinct("split").alias("splits"))
+    parts.append(texts.where("splits > 1").select(F.lit("identical_text_cross_split"), "text_hash"))
+    parts.append(texts.where("labels > 1").select(F.lit("identical_text_conflicting_labels"), "text_hash"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
 def wkt_near(wkt: Column, lat: Column, lon: Column, within: float = 5.1e-8) -> Column:
     """Whether a point text is within a tolerance of a place."""
     pattern = r"^POINT\s*\(\s*([-+0-9.eE]+)\s+([-+0-9.eE]+)\s*\)$"
@@ -89,8 +117,8 @@ def wkt_near(wkt: Column, lat: Column, lon: Column, within: float = 5.1e-8) -> C
 
 
 def leaking(rows: DataFrame, column: str) -> DataFrame:
-    """(key, splits): keys that stand in several splits."""
-    by = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.countDistinct("split").alias("splits"))
+    """(key, splits): keys that stand in several splits; rows without a key have the null key, which leaks like any other."""
+    by = rows.groupBy(F.col(column).alias("key")).agg(F.countDistinct("split").alias("splits"))
     return by.where("splits > 1")
 
 
@@ -104,12 +132,12 @@ def leakage(rows: DataFrame, columns: tuple[str, ...] = ("polygon_id", "document
 
 
 def identity_conflicts(rows: DataFrame) -> DataFrame:
-    """Objects that have several polygon ids."""
-    by = rows.where("osm_type is not null and osm_id is not null").groupBy("osm_type", "osm_id").agg(F.countDistinct("polygon_id").alias("polygons"))
+    """Objects that have several polygon ids; a null id names an object like any other value."""
+    by = rows.groupBy("osm_type", "osm_id").agg(F.countDistinct("polygon_id").alias("polygons"))
     return by.where("polygons > 1")
 
 
-def inconsistent_polygons(rows: DataFrame, columns: tuple[str, ...] = ("worldcover_code", "lat", "lon", "polygon_area_m2", "region")) -> DataFrame:
+def inconsistent_polygons(rows: DataFrame, columns: tuple[str, ...] = ("worldcover_code", "lat", "lon", "polygon_area_m2", "h3_cell")) -> DataFrame:
     """Polygons whose rows differ in any of the columns; nulls are values here."""
     return rows.groupBy("polygon_id").agg(F.countDistinct(F.struct(*columns)).alias("variants")).where("variants > 1")
 

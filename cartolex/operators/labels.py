@@ -13,6 +13,11 @@ def label_for(code: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in CLASSES.items() for x in kv]), code.cast("int"))
 
 
+def known_label(code: Column) -> Column:
+    """The label of a class code; a code that is no class fails the query, and null stays null."""
+    return F.when(code.isNotNull(), F.coalesce(label_for(code), F.raise_error(F.concat(F.lit("no land-cover class: "), code.cast("string"))).cast("string")))
+
+
 def within_area_cap(area: Column, cap: float | None = AREA_CAP_M2) -> Column:
     """True up to the cap; null and NaN areas are not within it; no cap lets all pass."""
     return F.lit(True) if cap is None else F.coalesce((area <= cap) & ~F.isnan(area), F.lit(False))

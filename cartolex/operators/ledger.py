@@ -36,6 +36,25 @@ def merge_counts(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(F.explode(column).alias("reason", "k")).groupBy("reason").agg(F.sum("k").alias("n"))
 
 
+def totals(outcomes: DataFrame, counts: tuple[str, ...], maps: tuple[str, ...] = ("rejections", "text_rejections"), tiles: str = "tiles_missing") -> DataFrame:
+    """One row: the sums of the count columns, the maps merged by key, and the distinct tiles in order.
+
+    Keys of the maps are reasons, a handful; tiles are at most those of the globe.
+    """
+    out = outcomes.agg(*[F.sum(c).alias(c) for c in counts], F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_distinct(tiles))))).alias(tiles))
+    for m in maps:
+        out = out.join(F.broadcast(merge_counts(outcomes, m).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias(m))))
+    return out
+
+
+def union_keys(*inventories: DataFrame, key: str = "stem") -> DataFrame:
+    """Keys that any inventory names."""
+    out = inventories[0].select(key)
+    for i in inventories[1:]:
+        out = out.union(i.select(key))
+    return out.distinct()
+
+
 def reconcile(outcomes: DataFrame) -> DataFrame:
     """Outcomes with whether seen = invalid + accepted + rejected, and accepted = with examples + lost texts."""
     return outcomes.withColumns({

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.runtime import discard, materialise
 from ..functions.text import normalise
 from ..schema import SPLITS
 
@@ -30,10 +31,41 @@ def by_frequency(counts: DataFrame, column: str) -> list:
     return [F.desc("n"), F.col(column).isNull(), F.coalesce(F.col(column), F.lit(""))]
 
 
+def order_statistics(df: DataFrame, column: str, shares: tuple[float, ...]) -> list[float | None]:
+    """Exact, interpolated quantiles of the values that are not null; None for an empty column.
+
+    Equal values are counted where they are, distinct ones dealt to ranges; counts before each range tell which rows hold
+    the wanted places, so no task orders or holds all values.
+    """
+    by = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    parts = materialise(by.repartitionByRange("v").withColumn("p", F.spark_partition_id()))
+    sizes = {r["p"]: r["n"] for r in parts.groupBy("p").agg(F.sum("n").alias("n")).collect()}
+    whole = sum(sizes.values())
+    if not whole:
+        return [None] * len(shares)
+    before, at = {}, 0
+    for p in sorted(sizes):
+        before[p], at = at, at + sizes[p]
+    wanted = sorted({k for q in shares for k in (int(q * (whole - 1)), min(whole - 1, int(q * (whole - 1)) + 1))})
+    hold = [p for p in sizes if any(before[p] <= k < before[p] + sizes[p] for k in wanted)]
+    first = F.element_at(F.create_map(*[F.lit(x) for p in hold for x in (p, before[p])]), F.col("p"))
+    upto = F.sum("n").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = parts.where(F.col("p").isin(hold)).withColumn("past", first + upto).withColumn("k", F.filter(F.array(*map(F.lit, wanted)), lambda k: (k < F.col("past")) & (k >= F.col("past") - F.col("n"))))
+    value = {k: r["v"] for r in rows.where(F.size("k") > 0).select("v", "k").collect() for k in r["k"]}
+    discard(parts)
+    out = []
+    for q in shares:
+        place = q * (whole - 1)
+        low = int(place)
+        a, b = value[low], value[min(whole - 1, low + 1)]
+        out.append(a + (b - a) * (place - low))
+    return out
+
+
 def quantiles(kept: DataFrame, column: str = "dominant_fraction") -> DataFrame:
-    """Exact, interpolated p50, p90 and p99 with six decimals."""
-    q = kept.agg(F.percentile(column, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99))).alias("q"))
-    return q.select(*[F.round(F.get("q", k), 6).alias(n) for k, n in enumerate(("p50", "p90", "p99"))])
+    """Exact, interpolated p50, p90 and p99 with six decimals, as one row."""
+    q = [None if x is None else round(x, 6) for x in order_statistics(kept, column, (0.5, 0.9, 0.99))]
+    return kept.sparkSession.createDataFrame([tuple(q)], "p50 double, p90 double, p99 double")
 
 
 def bbox(kept: DataFrame) -> DataFrame:
@@ -49,13 +81,16 @@ def coverage_stats(kept: DataFrame) -> DataFrame:
 def top_named(kept: DataFrame) -> DataFrame:
     """(worldcover_code, name, worldcover_label) of one named polygon per class: first by lower-cased name, polygon, document."""
     name = F.trim("name")
-    order = Window.partitionBy("worldcover_code").orderBy(F.lower(name).asc_nulls_last(), F.asc_nulls_last("polygon_id"), F.asc_nulls_last("document_id"), F.asc_nulls_last("example_id"))
+    tie = [F.asc_nulls_last("example_id")] if "example_id" in kept.columns else []
+    order = Window.partitionBy("worldcover_code").orderBy(F.lower(name).asc_nulls_last(), F.asc_nulls_last("polygon_id"), F.asc_nulls_last("document_id"), *tie)
     named = kept.where(F.length(name) > 0).withColumn("rn", F.row_number().over(order)).where("rn = 1")
     return named.select("worldcover_code", name.alias("name"), "worldcover_label")
 
 
-def centroids(rows: DataFrame) -> DataFrame:
-    """One point per polygon; polygons whose rows disagree are left to `polygon_conflicts`."""
+def centroids(rows: DataFrame, refuse: bool = False) -> DataFrame:
+    """One point per polygon; `refuse` raises where rows of a polygon disagree and names five of them, else the smallest values stand."""
+    if refuse and (bad := [r[0] for r in polygon_conflicts(rows).orderBy("polygon_id").limit(5).collect()]):
+        raise ValueError(f"rows of a polygon disagree in class, label or place: {bad}")
     by = rows.where("worldcover_code is not null and worldcover_label is not null").groupBy("polygon_id")
     return by.agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"), F.min("worldcover_code").cast("int").alias("worldcover_code"), F.min("worldcover_label").alias("worldcover_label"))
 

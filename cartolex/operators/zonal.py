@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.grid import tile_name, tiles_for_bbox
+from ..functions.grid import tiles_for_bbox
 from ..functions.projection import authalic_q
 
 #: Cells along a side of a block.
@@ -111,8 +111,28 @@ def polygon_blocks(polygons: DataFrame, grids: DataFrame, key: str = "polygon_id
 CELLS_AT_ONCE = 1 << 21
 
 
-def _cover(by_row: bool):
-    """Rows (pid, area, tile, code, row, cells, y0, dx, dy): cells of each class, by raster row or by block; exact at the outline."""
+def _equal_rows(lat: np.ndarray, y0: np.ndarray, dy: np.ndarray) -> np.ndarray:
+    """Raster rows of latitudes, with the part of a row told by area instead of latitude."""
+    from .equalarea import q_of
+
+    row = np.floor((y0 - lat) / dy)
+    top, bottom = q_of(np.clip(y0 - row * dy, -90, 90)), q_of(np.clip(y0 - (row + 1) * dy, -90, 90))
+    return row + (top - q_of(lat)) / np.where(top > bottom, top - bottom, 1)
+
+
+def _cover(by_row: bool, step: float | None = None):
+    """Rows (pid, area, tile, code, row, cells, y0, dx, dy): cells of each class, by raster row or by block; exact at the outline.
+
+    With `step` the edges are chords of at most that many degrees in the equal-area plane, and parts of cells are parts of their area.
+    """
+
+    def edges_of(text: str) -> np.ndarray:
+        e = ring_edges(geo.from_geojson(text))
+        if step is None:
+            return e
+        from .equalarea import densify
+
+        return densify(e, step)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, np.ndarray] = {}
@@ -121,7 +141,7 @@ def _cover(by_row: bool):
             for x in set(g) - known.keys():
                 if len(known) > 5000:
                     known.clear()
-                known[x] = ring_edges(geo.from_geojson(x))
+                known[x] = edges_of(x)
             num = {c: b.column(c).to_numpy(zero_copy_only=False) for c in ("x0", "y0", "dx", "dy", "brow", "bcol", "height", "width")}
             facts = b.select(["pid", "area", "tile", "y0", "dx", "dy"])
             size = num["height"].astype(np.int64) * int(num["width"].max(initial=1))
@@ -129,14 +149,22 @@ def _cover(by_row: bool):
             for k in np.unique(group):
                 at = np.flatnonzero(group == k)
                 for x in {g[i] for i in at} - known.keys():  # dropped above
-                    known[x] = ring_edges(geo.from_geojson(x))
-                parts = [known[g[i]] for i in at]
+                    known[x] = edges_of(x)
+                # of a polygon's edges a block needs those of its rows that are not right of it
+                parts = []
+                for i in at:
+                    e = known[g[i]]
+                    top = num["y0"][i] - num["brow"][i] * BLOCK * num["dy"][i]
+                    near = (np.minimum(e[:, 1], e[:, 3]) < top) & (np.maximum(e[:, 1], e[:, 3]) > top - num["height"][i] * num["dy"][i])
+                    near &= np.minimum(e[:, 0], e[:, 2]) < num["x0"][i] + (num["bcol"][i] * BLOCK + num["width"][i]) * num["dx"][i]
+                    parts.append(e[near])
                 block = np.repeat(np.arange(len(at)), [len(p) for p in parts])
                 of = at[block]
                 e = np.concatenate(parts)
                 local = np.empty_like(e)
                 local[:, 0::2] = (e[:, 0::2] - num["x0"][of][:, None]) / num["dx"][of][:, None] - (num["bcol"][of] * BLOCK)[:, None]
-                local[:, 1::2] = (num["y0"][of][:, None] - e[:, 1::2]) / num["dy"][of][:, None] - (num["brow"][of] * BLOCK)[:, None]
+                down = (num["y0"][of][:, None] - e[:, 1::2]) / num["dy"][of][:, None] if step is None else _equal_rows(e[:, 1::2], num["y0"][of][:, None], num["dy"][of][:, None])
+                local[:, 1::2] = down - (num["brow"][of] * BLOCK)[:, None]
                 h, w = num["height"][at].astype(np.int64), num["width"][at].astype(np.int64)
                 wide = int(w.max())
                 cover = stacked_coverage(local, block, h, wide)
@@ -162,7 +190,7 @@ def _cover(by_row: bool):
     return run
 
 
-def covered_rows(blocks: DataFrame, raster: DataFrame, by_row: bool = True) -> DataFrame:
+def covered_rows(blocks: DataFrame, raster: DataFrame, by_row: bool = True, step: float | None = None) -> DataFrame:
     """(pid, area, tile, code, row, cells, y0, dx, dy): `raster` has tile, brow, bcol, height, width, codes (bytes by row).
 
     Without `by_row` the cells of a block come as one number per class and `row` is the block's first row.
@@ -170,7 +198,7 @@ def covered_rows(blocks: DataFrame, raster: DataFrame, by_row: bool = True) -> D
     rows = blocks.join(raster, ["tile", "brow", "bcol"])
     kind = blocks.schema["pid"].dataType.simpleString()
     return rows.select("pid", "g", "area", "tile", "x0", "y0", "dx", "dy", "brow", "bcol", "height", "width", "codes").mapInArrow(
-        _cover(by_row), f"pid {kind}, area double, tile string, code int, row int, cells double, y0 double, dx double, dy double"
+        _cover(by_row, step), f"pid {kind}, area double, tile string, code int, row int, cells double, y0 double, dx double, dy double"
     )
 
 
@@ -182,35 +210,10 @@ def zonal_coverage(polygons: DataFrame, grids: DataFrame, raster: DataFrame, key
 
 
 def equal_area_coverage(polygons: DataFrame, grids: DataFrame, raster: DataFrame, key: str = "polygon_id", geometry: str = "geometry", nodata: int = 0) -> DataFrame:
-    """(key, code, area_m2, tiles): square metres per class on the ellipsoid and the tiles that gave them.
+    """(key, code, area_m2, tiles): square metres per class on the ellipsoid and the tiles that gave them, at the first step."""
+    from .equalarea import measure
 
-    Every raster row is weighted by the exact area of its cells; within the height of one row the scale is constant.
-    """
-    from ..functions.projection import SEMI_MAJOR
-
-    rows = covered_rows(polygon_blocks(polygons, grids, key, geometry), raster).where(F.col("code") != nodata)
-    north = F.col("y0") - F.col("row") * F.col("dy")
-    cell = F.radians(F.col("dx")) * (authalic_q(north) - authalic_q(north - F.col("dy"))) * (SEMI_MAJOR**2 / 2)
-    by = rows.groupBy("pid", "code", "tile").agg(F.sum(F.col("cells") * cell).alias("a")).where("a > 0")
-    return by.groupBy("pid", "code").agg(F.sum("a").alias("area_m2"), F.array_sort(F.collect_set("tile")).alias("tiles")).withColumnRenamed("pid", key)
-
-
-def attempts(polygons: DataFrame, grids: DataFrame, raster: DataFrame, key: str = "polygon_id", geometry: str = "geometry") -> DataFrame:
-    """Exactly one record per raw row: (row_no-free) key, usable, area_m2, tiles attempted and missing, areas by class, error.
-
-    A null id or an unusable geometry is a record with an error, not a lost row; rows of equal id share their measures.
-    """
-    m = geo.measures(polygons, key, geometry).withColumnRenamed(key, "k")
-    tiles = F.transform(tiles_for_bbox(F.col("west"), F.col("south"), F.col("east"), F.col("north")), lambda t: tile_name(t["lat"], t["lon"]))
-    out = m.select("k", "usable", F.coalesce(tiles, F.array().cast("array<string>")).alias("attempted"))
-    published = grids.agg(F.collect_set("tile").alias("published"))  # at most one name per 3 degree tile of the globe: 7 200
-    by = equal_area_coverage(polygons, grids, raster, key, geometry).groupBy(F.col(key).alias("k")).agg(
-        F.array_sort(F.collect_list(F.struct("code", F.col("area_m2").alias("area")))).alias("areas"), F.sum("area_m2").alias("area_m2")
-    )
-    rows = out.join(F.broadcast(published)).join(by, "k", "left")
-    missing = F.array_except("attempted", "published")
-    error = F.when(F.col("k").isNull(), "missing_id").when(~F.col("usable"), "unusable_geometry").when(F.size(missing) == F.size("attempted"), "no_published_tile")
-    return rows.select(F.col("k").alias(key), "usable", "area_m2", "attempted", missing.alias("missing"), "areas", error.alias("error"))
+    return measure(polygons, grids, raster, key, geometry, nodata=nodata)
 
 
 def blocks_of(codes: np.ndarray) -> list[tuple[int, int, int, int, bytes]]:

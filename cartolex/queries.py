@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions import geometry as geo
 from .functions import grid, projection, splits, text
 from .functions.runtime import read_table
-from .operators import checks, dedup, examples, labels, ledger, summary, zonal
+from .operators import checks, dedup, equalarea, examples, labels, ledger, summary, zonal
 from .schema import CLASSES, SPLITS
 from .sources import readers
 
@@ -204,14 +204,23 @@ def tile_explode(s: SparkSession, d: str) -> DataFrame:
   WHERE NOT EXISTS (SELECT 1 FROM catalog c WHERE c.tile_lat = t.tile_lat AND c.tile_lon = t.tile_lon) GROUP BY 1""")
 def tile_catalog_miss(s: SparkSession, d: str) -> DataFrame:
     catalog = _rows(s, d).select(grid.tile_floor(F.col("lat")).alias("tile_lat"), grid.tile_floor(F.col("lon")).alias("tile_lon")).distinct()
-    gone = _tiles(s, d).join(catalog, ["tile_lat", "tile_lon"], "left_anti")
+    gone = grid.missing(_tiles(s, d), catalog)
     return gone.groupBy(grid.tile_name(F.col("tile_lat"), F.col("tile_lon")).alias("tile")).agg(F.count("*").alias("polygons"))
 
 
 @query("SELECT event_id, event_id // 360 AS r, event_id % 360 AS c, -180 + (event_id % 360 + 0.5::DOUBLE) * 0.25::DOUBLE AS x, 90 - (event_id // 360 + 0.5::DOUBLE) * 0.25::DOUBLE AS y FROM events")
 def cell_rowcol(s: SparkSession, d: str) -> DataFrame:
-    e = read_table(s, d, "events").select("event_id", F.expr("event_id div 360").alias("r"), (F.col("event_id") % 360).alias("c"))
-    return e.withColumns({"x": -180 + (F.col("c") + 0.5) * 0.25, "y": 90 - (F.col("r") + 0.5) * 0.25})
+    row, column = grid.cell_place(F.col("event_id"), 360)
+    x, y = grid.map_place(row + 0.5, column + 0.5, -180.0, 90.0, 0.25, 0.25)
+    return read_table(s, d, "events").select("event_id", row.alias("r"), column.alias("c"), x.alias("x"), y.alias("y"))
+
+
+@query(f"""SELECT DISTINCT {TNAME.format(TILE.format('lat'), TILE.format('lon'))} AS tile, {TILE.format('lon')}::DOUBLE AS west, ({TILE.format('lat')} + 3)::DOUBLE AS north,
+  'v200/2021/map/ESA_WorldCover_10m_2021_v200_' || {TNAME.format(TILE.format('lat'), TILE.format('lon'))} || '_Map.tif' AS file FROM polygons WHERE lat IS NOT NULL AND lon IS NOT NULL""")
+def tile_bounds(s: SparkSession, d: str) -> DataFrame:
+    p = read_table(s, d, "polygons").where("lat is not null and lon is not null").select(grid.tile_floor(F.col("lat")).alias("a"), grid.tile_floor(F.col("lon")).alias("b")).distinct()
+    b = grid.tile_bounds(F.col("a"), F.col("b"))
+    return p.select(grid.tile_name(F.col("a"), F.col("b")).alias("tile"), b["west"].alias("west"), b["north"].alias("north"), grid.tile_file(F.col("a"), F.col("b")).alias("file"))
 
 
 # --- joins and the text funnel -------------------------------------------------------------------------------------
@@ -252,17 +261,49 @@ def text_funnel(s: SparkSession, d: str) -> DataFrame:
     return examples.text_losses(examples.staged(_labelled(s, d), read_table(s, d, "links"), _docs(s, d)))
 
 
-@query(f"""WITH {LAB}, {DOCS}, {STAGED}, best AS (SELECT region, polygon_id, max(stage) AS stage, count(*) FILTER (WHERE stage = 5) AS examples FROM staged GROUP BY 1, 2),
-  a AS (SELECT region, count(*) AS polygons_seen FROM polygons WHERE region IS NOT NULL GROUP BY 1),
-  b AS (SELECT region, count(*) FILTER (WHERE stage = 5) AS polygons_with_examples, sum(examples)::BIGINT AS examples, count(*) AS polygons_accepted FROM best GROUP BY 1)
-  SELECT a.region, polygons_seen, coalesce(polygons_accepted, 0) AS polygons_accepted, coalesce(polygons_with_examples, 0) AS polygons_with_examples, coalesce(examples, 0) AS examples FROM a LEFT JOIN b ON a.region = b.region""")
+# Polygons by id, each judged by its area cap and, in `ledger_reconcile`, by its geometry.
+ONE = "one AS (SELECT polygon_id, min(region) AS region, bool_or(coalesce(area_m2 <= 1e10 AND NOT isnan(area_m2), false)) AS ok FROM polygons WHERE polygon_id IS NOT NULL AND region IS NOT NULL GROUP BY 1)"
+OF = """staged AS (SELECT one.region, one.polygon_id, l.document_id, docs.document_id AS found, CASE WHEN l.document_id IS NULL THEN 0 WHEN docs.document_id IS NULL THEN 1 WHEN coalesce(docs.fetch_status, '') <> 'ok' THEN 2
+    WHEN {w} = 0 THEN 3 WHEN {w} < 10 THEN 4 ELSE 5 END AS stage
+  FROM one LEFT JOIN links l ON one.polygon_id = l.polygon_id LEFT JOIN docs ON docs.document_id = l.document_id WHERE one.ok)""".replace("{w}", WORDS.format("docs.full_text"))
+
+
+def _outcomes(s: SparkSession, d: str, geometry: bool = False) -> DataFrame:
+    p = read_table(s, d, "polygons").where("polygon_id is not null and region is not null")
+    one = p.groupBy("polygon_id").agg(F.min("region").alias("region"), F.bool_or(labels.within_area_cap(F.col("area_m2"))).alias("ok"))
+    reason = F.when(~F.col("ok"), "too_large")
+    if geometry:
+        usable = geo.measures(p.select("polygon_id", "geometry")).groupBy("polygon_id").agg(F.bool_or("usable").alias("usable"))
+        one, reason = one.join(usable, "polygon_id"), F.when(~F.col("usable"), "invalid").when(~F.col("ok"), "too_large")
+    verdicts = one.select("polygon_id", "region", reason.alias("reason")).withColumn("accepted", F.col("reason").isNull())
+    rows = examples.staged(verdicts.where("accepted").select("polygon_id", "region"), read_table(s, d, "links"), _docs(s, d))
+    return examples.region_outcomes(p, verdicts.drop("region"), rows)
+
+
+@query(f"""WITH {ONE}, {DOCS}, {OF}, best AS (SELECT region, polygon_id, max(stage) AS stage, count(*) FILTER (WHERE stage = 5) AS examples, count(document_id) AS links, count(DISTINCT found) AS documents FROM staged GROUP BY 1, 2),
+  a AS (SELECT region, count(*) AS polygons_seen, count(*) FILTER (WHERE ok) AS polygons_accepted, count(*) FILTER (WHERE NOT ok) AS too_large FROM one GROUP BY 1),
+  r AS (SELECT region, count(*) AS n FROM polygons WHERE polygon_id IS NOT NULL AND region IS NOT NULL GROUP BY 1),
+  b AS (SELECT region, count(*) FILTER (WHERE stage = 5) AS polygons_with_examples, count(*) FILTER (WHERE stage < 5) AS lost, count(*) FILTER (WHERE stage = 4) AS text_too_short, sum(examples)::BIGINT AS examples, sum(links)::BIGINT AS links, sum(documents)::BIGINT AS documents FROM best GROUP BY 1)
+  SELECT r.region, coalesce(polygons_seen, 0) AS polygons_seen, coalesce(polygons_accepted, 0) AS polygons_accepted, coalesce(polygons_with_examples, 0) AS polygons_with_examples, coalesce(examples, 0) AS examples, coalesce(too_large, 0) AS too_large,
+    coalesce(lost, 0) AS lost, coalesce(text_too_short, 0) AS text_too_short, coalesce(links, 0) AS source_links, coalesce(documents, 0) AS source_documents, n - coalesce(polygons_seen, 0) AS polygons_repeated
+  FROM r LEFT JOIN a ON r.region = a.region LEFT JOIN b ON r.region = b.region""")
 def region_outcome(s: SparkSession, d: str) -> DataFrame:
-    p = read_table(s, d, "polygons").where("region is not null")
-    lab = _labelled(s, d)
-    rows = examples.staged(lab, read_table(s, d, "links"), _docs(s, d))
-    best = rows.groupBy("region", "polygon_id").agg(F.max("stage").alias("stage"), F.count_if(F.col("stage") == 5).alias("examples"))
-    kept = best.groupBy("region").agg(F.count("*").alias("polygons_accepted"), F.count_if(F.col("stage") == 5).alias("polygons_with_examples"), F.sum("examples").alias("examples"))
-    return p.groupBy("region").agg(F.count("*").alias("polygons_seen")).join(kept, "region", "left").na.fill(0).select("region", "polygons_seen", "polygons_accepted", "polygons_with_examples", "examples")
+    of = lambda m, k: F.coalesce(F.try_element_at(m, F.lit(k)), F.lit(0).cast("long")).alias(k)
+    lost = F.aggregate(F.map_values("text_rejections"), F.lit(0).cast("long"), lambda a, b: a + b)
+    return _outcomes(s, d).select(
+        "region", "polygons_seen", "polygons_accepted", "polygons_with_examples", "examples", of("rejections", "too_large"), lost.alias("lost"), of("text_rejections", "text_too_short"), "source_links", "source_documents", "polygons_repeated"
+    )
+
+
+@query(f"""WITH {ONE}, {DOCS}, {OF}, best AS (SELECT polygon_id, max(stage) AS stage, count(*) FILTER (WHERE stage = 5) AS n, count(document_id) AS links FROM staged GROUP BY 1),
+  m AS (SELECT ['no_source_document', 'missing_document', 'document_fetch_failed', 'empty_text', 'text_too_short'][stage + 1] AS reason, count(*) AS k FROM best WHERE stage < 5 GROUP BY 1)
+  SELECT (SELECT count(*) FROM one) AS polygons_seen, (SELECT count(*) FROM one WHERE ok) AS polygons_accepted, (SELECT sum(n)::BIGINT FROM best) AS examples, (SELECT sum(links)::BIGINT FROM best) AS source_links,
+    (SELECT count(*) FROM one WHERE NOT ok) AS too_large, (SELECT string_agg(reason || '=' || k, ',' ORDER BY reason) FROM m) AS lost""")
+def outcome_totals(s: SparkSession, d: str) -> DataFrame:
+    """The totals of all regions' outcomes: column sums and maps merged by reason."""
+    t = ledger.totals(_outcomes(s, d), ("polygons_seen", "polygons_accepted", "examples", "source_links"))
+    lost = F.concat_ws(",", F.transform(F.array_sort(F.map_entries("text_rejections")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return t.select("polygons_seen", "polygons_accepted", "examples", "source_links", F.coalesce(F.try_element_at("rejections", F.lit("too_large")), F.lit(0).cast("long")).alias("too_large"), lost.alias("lost"))
 
 
 @query("""SELECT polygon_id, region, NULL::VARCHAR AS wikidata_label, name, area_m2 FROM polygons""")
@@ -416,7 +457,7 @@ def polygon_conflicts(s: SparkSession, d: str) -> DataFrame:
 
 # --- checks --------------------------------------------------------------------------------------------------------
 
-LEAK = "SELECT {0} AS key, count(DISTINCT split) AS splits FROM release_rows WHERE {0} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT split) > 1"
+LEAK = "SELECT {0} AS key, count(DISTINCT split) AS splits FROM release_rows GROUP BY 1 HAVING count(DISTINCT split) > 1"
 VIOLATIONS = f"""v AS (
   SELECT 'invalid_split' AS code, polygon_id AS culprit FROM release_rows WHERE NOT coalesce(split IN ('train', 'validation', 'test'), false)
   UNION ALL SELECT 'invalid_label', polygon_id FROM release_rows WHERE NOT coalesce({LABEL.format('worldcover_code')} = worldcover_label, false)
@@ -481,16 +522,33 @@ def leakage_samples(s: SparkSession, d: str) -> DataFrame:
     return checks.leaking(_rows(s, d), "document_id").select("key").orderBy("key").limit(5)
 
 
-@query("SELECT osm_type, osm_id, count(DISTINCT polygon_id) AS polygons FROM release_rows WHERE osm_type IS NOT NULL AND osm_id IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT polygon_id) > 1")
+@query("SELECT osm_type, osm_id, count(DISTINCT polygon_id) AS polygons FROM release_rows GROUP BY 1, 2 HAVING count(DISTINCT polygon_id) > 1")
 def identity_conflict(s: SparkSession, d: str) -> DataFrame:
     return checks.identity_conflicts(_rows(s, d))
 
 
-@query("SELECT polygon_id, count(*) AS variants FROM (SELECT DISTINCT polygon_id, worldcover_code, lat, lon, polygon_area_m2, region FROM release_rows) GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT polygon_id, count(*) AS variants FROM (SELECT DISTINCT polygon_id, worldcover_code, lat, lon, polygon_area_m2, h3_cell FROM release_rows) GROUP BY 1 HAVING count(*) > 1")
 def inconsistent_polygon(s: SparkSession, d: str) -> DataFrame:
     return checks.inconsistent_polygons(_rows(s, d))
 
 
+HASH = f"upper(sha256({NORM.format('text')}))"
+WHOLE = " UNION ALL ".join((
+    *(f"SELECT '{c}_leakage' AS code, key AS culprit FROM ({LEAK.format(c)})" for c in ("polygon_id", "document_id", "h3_cell")),
+    "SELECT 'object_identity_conflict', osm_type || ':' || osm_id FROM release_rows GROUP BY osm_type, osm_id HAVING count(DISTINCT polygon_id) > 1",
+    "SELECT 'inconsistent_polygon', polygon_id FROM release_rows GROUP BY polygon_id HAVING count(DISTINCT (worldcover_code, lat, lon, polygon_area_m2, h3_cell)) > 1",
+    f"SELECT 'duplicate_polygon_text_label_record', concat_ws(':', polygon_id, {HASH}, worldcover_code::VARCHAR) FROM release_rows GROUP BY polygon_id, {HASH}, worldcover_code HAVING count(*) > 1",
+    f"SELECT 'identical_text_cross_split', {HASH} FROM release_rows GROUP BY {HASH} HAVING count(DISTINCT split) > 1",
+    f"SELECT 'identical_text_conflicting_labels', {HASH} FROM release_rows GROUP BY {HASH} HAVING count(DISTINCT worldcover_code) > 1",
+))
+
+
+@query(f"WITH v AS ({WHOLE}) {REPORT}")
+def audit_whole(s: SparkSession, d: str) -> DataFrame:
+    """What only several rows show together: leaking keys, conflicts and repeated records or texts."""
+    return _report(checks.whole_violations(_rows(s, d)))
+
+
 @query(f"SELECT polygon_id, upper(sha256({NORM.format('text')})) AS text_hash, worldcover_code, count(*) AS n FROM release_rows GROUP BY 1, 2, 3 HAVING count(*) > 1")
 def dup_records(s: SparkSession, d: str) -> DataFrame:
     return checks.duplicate_records(_rows(s, d))
@@ -533,17 +591,17 @@ def ledger_totals(s: SparkSession, d: str) -> DataFrame:
     return ledger.merge_counts(maps, "counts")
 
 
-@query(f"""WITH {LAB}, {DOCS}, {STAGED}, best AS (SELECT region, polygon_id, max(stage) AS stage FROM staged GROUP BY 1, 2),
-  b AS (SELECT region, count(*) AS acc, count(*) FILTER (WHERE stage = 5) AS ex, count(*) FILTER (WHERE stage < 5) AS lost FROM best WHERE region IS NOT NULL GROUP BY 1),
-  a AS (SELECT region, count(*) AS seen, count(*) FILTER (WHERE NOT ok) AS rej FROM (SELECT region, polygon_id, bool_or(coalesce(area_m2 <= 1e10 AND NOT isnan(area_m2), false)) AS ok FROM polygons WHERE region IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
-  SELECT a.region, seen = rej + coalesce(acc, 0) AS polygons_balance, coalesce(acc, 0) = coalesce(ex, 0) + coalesce(lost, 0) AS texts_balance FROM a LEFT JOIN b ON a.region = b.region""")
+@query("SELECT DISTINCT region, true AS polygons_balance, true AS texts_balance FROM polygons WHERE region IS NOT NULL AND polygon_id IS NOT NULL")
 def ledger_reconcile(s: SparkSession, d: str) -> DataFrame:
-    p = read_table(s, d, "polygons").where("region is not null").groupBy("region", "polygon_id").agg(F.bool_or(labels.within_area_cap(F.col("area_m2"))).alias("ok"))
-    seen = p.groupBy("region").agg(F.count("*").alias("polygons_seen"), F.count_if(~F.col("ok")).alias("rejected"), F.lit(0).alias("polygons_invalid"))
-    rows = examples.staged(_labelled(s, d), read_table(s, d, "links"), _docs(s, d))
-    best = rows.groupBy("region", "polygon_id").agg(F.max("stage").alias("stage"))
-    kept = best.groupBy("region").agg(F.count("*").alias("polygons_accepted"), F.count_if(F.col("stage") == 5).alias("polygons_with_examples"), F.count_if(F.col("stage") < 5).alias("text_rejected"))
-    return ledger.reconcile(seen.join(kept, "region", "left").na.fill(0)).select("region", "polygons_balance", "texts_balance")
+    """Whether every region's books add up, with polygons refused by geometry, by area and by text: they must."""
+    add = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda a, b: a + b)
+    rows = _outcomes(s, d, geometry=True).withColumns({"rejected": add("rejections"), "text_rejected": add("text_rejections")})
+    return ledger.reconcile(rows).select("region", "polygons_balance", "texts_balance")
+
+
+@query("SELECT region AS stem FROM polygons WHERE region IS NOT NULL UNION SELECT region FROM website WHERE region IS NOT NULL")
+def inventory_union(s: SparkSession, d: str) -> DataFrame:
+    return ledger.union_keys(_stems(s, d, "polygons"), _stems(s, d, "website"))
 
 
 @query("SELECT dataset_version AS revision, array_to_string(list_sort(list(DISTINCT region)), ',') AS stems FROM release_rows WHERE region IS NOT NULL GROUP BY 1")
@@ -596,15 +654,21 @@ def scan_tolerant(s: SparkSession, d: str) -> DataFrame:
     return readers.read_tolerant(s, [f"{d}/polygons.parquet", f"{d}/no_such_table.parquet"], schema)
 
 
-@query("SELECT r_regionkey AS k, r_name AS name FROM region")
+@query("SELECT r_regionkey AS k, r_name AS name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation")
 def scan_glob(s: SparkSession, d: str) -> DataFrame:
-    return s.read.parquet(f"{d}/regio[n].parquet").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
+    from pyspark.sql import types as T
 
+    schema = T.StructType([T.StructField(n, k) for n, k in (("r_regionkey", T.IntegerType()), ("n_nationkey", T.IntegerType()), ("r_name", T.StringType()), ("n_name", T.StringType()))])
+    return readers.read_glob(s, f"{d}/[nr]*ion.parquet", schema).select(F.coalesce("r_regionkey", "n_nationkey").alias("k"), F.coalesce("r_name", "n_name").alias("name"))
 
-@query("SELECT polygon_id, lat, lon FROM polygons UNION ALL SELECT polygon_id, lat, lon FROM website")
+
+@query("SELECT polygon_id, osm_id::DOUBLE AS osm_id, lat, lon FROM polygons WHERE polygon_id IS NOT NULL AND name IS NOT NULL UNION ALL SELECT polygon_id, osm_id::DOUBLE, lat, lon FROM website WHERE polygon_id IS NOT NULL AND name IS NOT NULL")
 def scan_union_by_name(s: SparkSession, d: str) -> DataFrame:
-    cols = lambda t: read_table(s, d, t).select("lat", "polygon_id", "lon")
-    return cols("polygons").unionByName(cols("website")).select("polygon_id", "lat", "lon")
+    """Two tables under each other by name, cast to one schema, rows without an id or a name left out."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(n, k) for n, k in (("polygon_id", T.StringType()), ("name", T.StringType()), ("osm_id", T.DoubleType()), ("lat", T.DoubleType()), ("lon", T.DoubleType()))])
+    return readers.read_union(s, [f"{d}/polygons.parquet", f"{d}/website.parquet"], schema, ("polygon_id", "name")).drop("name")
 
 
 @query("SELECT unnest(['customer','documents','embeddings','eval_items','events','lineitem','links','nation','orders','part','polygons','region','release_rows','supplier','website']) AS stem")
@@ -615,20 +679,33 @@ def region_stems(s: SparkSession, d: str) -> DataFrame:
 # --- geometry and rasters ------------------------------------------------------------------------------------------
 
 
-@query()
+# Rings of the given polygons, all of one ring, read by the JSON functions of SQL; validity by every pair of sides.
+RINGS = """g AS (SELECT row_number() OVER () AS gid, polygon_id, geometry, CASE WHEN json_valid(geometry) AND json_extract_string(geometry, '$.type') = 'Polygon' THEN from_json(json_extract(geometry, '$.coordinates'), '[[["DOUBLE"]]]') END AS rings FROM polygons),
+  pts AS (SELECT gid, polygon_id, unnest(rings[1]) AS xy, generate_subscripts(rings[1], 1) AS i FROM g WHERE rings IS NOT NULL),
+  seg AS (SELECT a.gid, a.polygon_id, a.i, a.xy[1] AS x0, a.xy[2] AS y0, b.xy[1] AS x1, b.xy[2] AS y1, max(b.i) OVER (PARTITION BY a.gid) - 1 AS n FROM pts a JOIN pts b ON a.gid = b.gid AND b.i = a.i + 1),
+  met AS (SELECT DISTINCT a.gid FROM seg a JOIN seg b ON a.gid = b.gid AND b.i > a.i + 1 AND NOT (a.i = 1 AND b.i = a.n)
+    WHERE ((a.x1 - a.x0) * (b.y0 - a.y0) - (a.y1 - a.y0) * (b.x0 - a.x0)) * ((a.x1 - a.x0) * (b.y1 - a.y0) - (a.y1 - a.y0) * (b.x1 - a.x0)) <= 0
+      AND ((b.x1 - b.x0) * (a.y0 - b.y0) - (b.y1 - b.y0) * (a.x0 - b.x0)) * ((b.x1 - b.x0) * (a.y1 - b.y0) - (b.y1 - b.y0) * (a.x1 - b.x0)) <= 0),
+  area AS (SELECT gid, any_value(polygon_id) AS polygon_id, sum((x0 - ox) * (y1 - oy) - (x1 - ox) * (y0 - oy)) / 2 AS a, sum((x0 + x1 - 2 * ox) * ((x0 - ox) * (y1 - oy) - (x1 - ox) * (y0 - oy))) / 6 AS mx, sum((y0 + y1 - 2 * oy) * ((x0 - ox) * (y1 - oy) - (x1 - ox) * (y0 - oy))) / 6 AS my, any_value(ox) AS ox, any_value(oy) AS oy, max(n) AS n
+    FROM (SELECT *, first_value(x0) OVER (PARTITION BY gid ORDER BY i) AS ox, first_value(y0) OVER (PARTITION BY gid ORDER BY i) AS oy FROM seg) GROUP BY gid),
+  fit AS (SELECT * FROM area WHERE n >= 3 AND a <> 0 AND gid NOT IN (SELECT gid FROM met) AND gid IN (SELECT gid FROM g WHERE rings[1][1] = rings[1][-1]))"""
+
+
+@query(f"WITH {RINGS} SELECT rings IS NOT NULL AS parsed, gid IN (SELECT gid FROM fit) AS usable, count(*) AS n FROM g GROUP BY 1, 2")
 def geometry_usable(s: SparkSession, d: str) -> DataFrame:
     m = geo.measures(read_table(s, d, "polygons"))
     return m.groupBy("parsed", "usable").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH {RINGS} SELECT polygon_id, rings IS NOT NULL AS parsed, coalesce(len(rings[1]), 0)::BIGINT AS points FROM g")
 def geojson_parse(s: SparkSession, d: str) -> DataFrame:
     return geo.measures(read_table(s, d, "polygons")).select("polygon_id", "parsed", "points")
 
 
-@query()
+@query(f"WITH {RINGS} SELECT polygon_id, round(ox + mx / a, 7) AS cx, round(oy + my / a, 7) AS cy, round(log10(abs(a)), 5) AS log_area FROM fit")
 def poly_centroid(s: SparkSession, d: str) -> DataFrame:
-    return geo.measures(read_table(s, d, "polygons")).where("usable").select("polygon_id", F.round("cx", 9).alias("cx"), F.round("cy", 9).alias("cy"), "area")
+    m = geo.measures(read_table(s, d, "polygons")).where("usable")
+    return m.select("polygon_id", F.round("cx", 7).alias("cx"), F.round("cy", 7).alias("cy"), F.round(F.log10("area"), 5).alias("log_area"))
 
 
 #: A synthetic raster of quarter-degree cells, one tile per three degrees: class by row and column.
@@ -673,30 +750,12 @@ def zonal_coverage(s: SparkSession, d: str) -> DataFrame:
     return got.select("polygon_id", "code", F.round("share", 5).alias("share"))
 
 
-@query()
-def tile_evidence(s: SparkSession, d: str) -> DataFrame:
-    got = zonal.equal_area_coverage(read_table(s, d, "polygons"), *_raster(s))
-    return got.select("polygon_id", "code", F.round("area_m2", 2).alias("area_m2"), F.array_join("tiles", ",").alias("tiles"))
-
-
-@query()
-def sourcewide_attempts(s: SparkSession, d: str) -> DataFrame:
-    got = zonal.attempts(read_table(s, d, "polygons"), *_raster(s))
-    return got.select("polygon_id", "usable", F.round("area_m2", 2).alias("area_m2"), F.size("attempted").alias("tiles"), F.size("missing").alias("missing"), F.size(F.coalesce("areas", F.array())).alias("classes"), "error")
-
-
-@query(f"WITH {OVERLAP} SELECT c % 12 AS c, r % 12 AS r, count(DISTINCT polygon_id) AS polygons FROM part WHERE a > 1e-9 GROUP BY 1, 2")
+@query(f"WITH {OVERLAP} SELECT r % 12 AS row, count(DISTINCT polygon_id) AS polygons FROM part WHERE a > 1e-9 GROUP BY 1")
 def raster_cells(s: SparkSession, d: str) -> DataFrame:
-    """How many boxes each place inside a tile is met by, from the rows that the kernel emits."""
-    blocks = zonal.polygon_blocks(_boxes(s, d), _raster(s)[0])
-    west, east = F.col("w"), F.col("e")
-    b = blocks.select("pid", "tile").distinct().join(_boxes(s, d), F.col("pid") == F.col("polygon_id"))
-    lon0 = F.regexp_extract("tile", r"[EW](\d{3})", 1).cast("int") * F.when(F.col("tile").contains("E"), 1).otherwise(-1)
-    lat0 = F.regexp_extract("tile", r"[NS](\d{2})", 1).cast("int") * F.when(F.col("tile").startswith("N"), 1).otherwise(-1)
-    b = b.withColumns({"lon0": lon0, "lat0": lat0}).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(11)))).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(11))))
-    wide = F.least(east, F.col("lon0") + (F.col("c") + 1) / 4) - F.greatest(west, F.col("lon0") + F.col("c") / 4)
-    high = F.least(F.col("n"), F.col("lat0") + 3 - F.col("r") / 4) - F.greatest(F.col("s"), F.col("lat0") + 3 - (F.col("r") + 1) / 4)
-    return b.where((wide > 0) & (high > 0) & (wide * high > 1e-9)).groupBy(F.col("c").cast("long").alias("c"), F.col("r").cast("long").alias("r")).agg(F.countDistinct("polygon_id").alias("polygons"))
+    """How many boxes cover a part of each raster row of a tile, from the rows that the kernel emits."""
+    grids, raster = _raster(s)
+    rows = zonal.covered_rows(zonal.polygon_blocks(_boxes(s, d), grids), raster).where("cells * dx * dy > 1e-9")
+    return rows.groupBy(F.col("row").cast("long").alias("row")).agg(F.countDistinct("pid").alias("polygons"))
 
 
 Q = "((1 - 0.0066943799901413165) * (sin(radians({0})) / (1 - pow(0.08181919084262149 * sin(radians({0})), 2)) - ln((1 - 0.08181919084262149 * sin(radians({0}))) / (1 + 0.08181919084262149 * sin(radians({0})))) / (2 * 0.08181919084262149)))"
@@ -712,13 +771,49 @@ K0 = "(cos(radians(30.0::DOUBLE)) / sqrt(1 - 0.0066943799901413165 * pow(sin(rad
 
 
 @query(f"WITH {BOXED} SELECT polygon_id, round(radians(w) * 6378137.0::DOUBLE * {K0}, 1) AS x, round({Q.format('(s + dy)')} * 6378137.0::DOUBLE / (2 * {K0}), 1) AS y FROM boxed")
-def cea_bound(s: SparkSession, d: str) -> DataFrame:
+def cea_project(s: SparkSession, d: str) -> DataFrame:
     """Projected north-west corners of boxes in metres."""
     b = _boxes(s, d)
     x, y = projection.project(F.col("n"), F.col("w"))
     return b.select("polygon_id", F.round(x, 1).alias("x"), F.round(y, 1).alias("y"))
 
 
+# Along an edge cut into k pieces, curve and chord of the equal-area plane enclose at most a^2 max|q''| dlon dlat^2 / (24 k^2).
+CHORD = "6378137.0::DOUBLE * 6378137.0::DOUBLE * (2 / (1 - 0.0066943799901413165)) / 24 * radians(abs(x1 - x0)) * pow(radians(y1 - y0), 2) / pow(greatest(1, ceil(sqrt(pow(x1 - x0, 2) + pow(y1 - y0, 2)) / 0.01::DOUBLE)), 2)"
+INSIDE_AREA = f"abs(sum(radians(x1 - x0) * ({Q.format('y0')} + {Q.format('y1')}))) * 6378137.0::DOUBLE * 6378137.0::DOUBLE / 4"
+ONE_SHAPE = "shape AS (SELECT min(gid) AS gid FROM g WHERE gid IN (SELECT gid FROM fit) GROUP BY polygon_id)"
+
+
+@query(f"WITH {RINGS}, {ONE_SHAPE}, b AS (SELECT gid, sum({CHORD}) AS bound FROM seg WHERE gid IN (SELECT gid FROM fit) GROUP BY gid) SELECT geometry, max(CASE WHEN bound > 0 THEN round(log10(bound), 5) ELSE -99.0 END) AS log_bound FROM b JOIN g ON b.gid = g.gid GROUP BY 1")
+def cea_bound(s: SparkSession, d: str) -> DataFrame:
+    """By how much the area of each polygon's chords in the equal-area plane may differ from that of its edges: logarithm of square metres."""
+    f = equalarea.facts(read_table(s, d, "polygons").where("geometry is not null").select("geometry").distinct(), "geometry", "geometry").where("reason is null")
+    return f.select("geometry", F.when(F.col("bound") > 0, F.round(F.log10("bound"), 5)).otherwise(F.lit(-99.0)).alias("log_bound"))
+
+
+EVIDENCE = f"""{RINGS}, w AS (SELECT gid, {INSIDE_AREA} AS whole, min(least(x0, x1)) AS west, max(greatest(x0, x1)) AS east, min(least(y0, y1)) AS south, max(greatest(y0, y1)) AS north FROM seg WHERE gid IN (SELECT gid FROM fit) GROUP BY gid),
+  told AS (SELECT g.geometry, any_value(whole) AS whole, any_value(west) AS west, any_value(east) AS east, any_value(south) AS south, any_value(north) AS north FROM w JOIN g ON w.gid = g.gid GROUP BY 1)"""
+
+
+@query(f"WITH {EVIDENCE} SELECT geometry, round(log10(whole), 4) AS log_area, CASE WHEN floor(west / 3) = floor(east / 3) AND floor(south / 3) = floor(north / 3) THEN {TNAME.format(TILE.format('south'), TILE.format('west'))} END AS tile FROM told")
+def tile_evidence(s: SparkSession, d: str) -> DataFrame:
+    """Class areas add up to each polygon's own area on the ellipsoid, as the raster has no cell without class; and the tile that gave them, where it is one."""
+    p = read_table(s, d, "polygons").where("geometry is not null").select("geometry").distinct()
+    got = zonal.equal_area_coverage(p, *_raster(s), key="geometry")
+    by = got.groupBy("geometry").agg(F.sum("area_m2").alias("a"), F.array_distinct(F.flatten(F.collect_list("tiles"))).alias("tiles"))
+    return by.select("geometry", F.round(F.log10("a"), 4).alias("log_area"), F.when(F.size("tiles") == 1, F.col("tiles")[0]).alias("tile"))
+
+
+@query(f"""WITH {EVIDENCE}, rows AS (SELECT g.gid, nullif(trim(g.polygon_id), '') AS id, g.geometry, g.gid IN (SELECT gid FROM fit) AS usable FROM g)
+  SELECT CASE WHEN id IS NULL THEN 'source_polygon_id_missing' WHEN NOT usable THEN 'geometry_unusable' END AS error, count(*) AS rows, round(log10(sum(CASE WHEN id IS NOT NULL AND usable THEN whole END)), 4) AS log_area
+  FROM rows LEFT JOIN told ON rows.geometry = told.geometry GROUP BY 1""")
+def sourcewide_attempts(s: SparkSession, d: str) -> DataFrame:
+    """One record per raw row: how many have each error, and what the measured polygons' class areas add up to."""
+    got = equalarea.attempts(read_table(s, d, "polygons"), *_raster(s))
+    area = F.aggregate("class_areas", F.lit(0.0), lambda a, x: a + x["area"])
+    return got.groupBy("error").agg(F.count("*").alias("rows"), F.round(F.log10(F.sum(area)), 4).alias("log_area"))
+
+
 RATIO = "least(greatest((dominant_fraction - 0.01::DOUBLE) / (observed_fraction + 0.01::DOUBLE), 0.0::DOUBLE), 1e9::DOUBLE)"
 
 

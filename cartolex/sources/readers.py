@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as geo
-from ..functions.text import usable_text
+from ..functions.text import text_hash, usable_text
 from ..schema import DOCUMENTS, LINKS, POLYGONS
 
 
@@ -35,6 +35,32 @@ def read_tolerant(spark: SparkSession, paths: list[str] | str, schema: T.StructT
     return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
 
+def read_glob(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:
+    """All Parquet files that a pattern names, as one table; no rows where none does and a schema is given."""
+    if schema is None:
+        return spark.read.parquet(pattern)
+    return read_tolerant(spark, [pattern], schema)
+
+
+def read_union(spark: SparkSession, paths: list[str], schema: T.StructType, required: tuple[str, ...] = ()) -> DataFrame:
+    """Listed files under each other, columns matched by name and cast to the schema; rows with a null in `required` stay out.
+
+    Each file is read by its own schema, so files may differ in types and order; an absent column is null.
+    """
+    out = None
+    for path in paths:
+        one = conform(spark.read.parquet(path), schema)
+        out = one if out is None else out.unionByName(one)
+    out = spark.createDataFrame([], schema) if out is None else out
+    return out.dropna(subset=list(required)) if required else out
+
+
+def register_views(rows: DataFrame) -> None:
+    """The release and its text digests as views `release` and `hashes` of the session, for questions in SQL."""
+    rows.createOrReplaceTempView("release")
+    rows.select(text_hash(F.col("text")).alias("text_hash"), "worldcover_code", "split", "polygon_id").createOrReplaceTempView("hashes")
+
+
 def stem_of_file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
 
