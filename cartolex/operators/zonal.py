@@ -120,6 +120,26 @@ def _equal_rows(lat: np.ndarray, y0: np.ndarray, dy: np.ndarray) -> np.ndarray:
     return row + (top - q_of(lat)) / np.where(top > bottom, top - bottom, 1)
 
 
+def _cut_rows(e: np.ndarray, y0: float, dy: float) -> np.ndarray:
+    """Edges cut where their chords in the equal-area plane cross the lines between raster rows; in a row the scale is one."""
+    from .equalarea import q_of
+
+    a, b = (y0 - e[:, 1]) / dy, (y0 - e[:, 3]) / dy
+    first, last = np.ceil(np.minimum(a, b)), np.floor(np.maximum(a, b))
+    n = np.where(a == b, 0, np.maximum(0, last - first + 1)).astype(np.int64)
+    who = np.repeat(np.arange(len(e)), n)
+    lat = y0 - (first[who] + np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n)) * dy
+    q0, q1 = q_of(e[:, 1]), q_of(e[:, 3])
+    t = np.clip((q_of(lat) - q0[who]) / (q1 - q0)[who], 0, 1)
+    every = np.arange(len(e))
+    owner, at, lats = np.concatenate((every, who, every)), np.concatenate((np.zeros(len(e)), t, np.ones(len(e)))), np.concatenate((e[:, 1], lat, e[:, 3]))
+    order = np.lexsort((at, owner))
+    owner, at, lats = owner[order], at[order], lats[order]
+    x = e[owner, 0] + (e[owner, 2] - e[owner, 0]) * at
+    same = owner[1:] == owner[:-1]
+    return np.stack((x[:-1][same], lats[:-1][same], x[1:][same], lats[1:][same]), 1)
+
+
 def _cover(by_row: bool, step: float | None = None):
     """Rows (pid, area, tile, code, row, cells, y0, dx, dy): cells of each class, by raster row or by block; exact at the outline.
 
@@ -157,7 +177,7 @@ def _cover(by_row: bool, step: float | None = None):
                     top = num["y0"][i] - num["brow"][i] * BLOCK * num["dy"][i]
                     near = (np.minimum(e[:, 1], e[:, 3]) < top) & (np.maximum(e[:, 1], e[:, 3]) > top - num["height"][i] * num["dy"][i])
                     near &= np.minimum(e[:, 0], e[:, 2]) < num["x0"][i] + (num["bcol"][i] * BLOCK + num["width"][i]) * num["dx"][i]
-                    parts.append(e[near])
+                    parts.append(e[near] if step is None else _cut_rows(e[near], num["y0"][i], num["dy"][i]))
                 block = np.repeat(np.arange(len(at)), [len(p) for p in parts])
                 of = at[block]
                 e = np.concatenate(parts)
