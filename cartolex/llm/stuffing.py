@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtime import spread
+from .overlap import slices
 
 # Function words of the languages of the texts.
 FUNCTION = frozenset(
@@ -46,6 +47,8 @@ KEYED = 0.34
 #: Share of words in such stretches from which a document is a case: a clear majority, as addresses count several words each
 #: and articles may end in long lists.
 MOST_SHARE = 0.6
+#: Characters of text that are judged at once.
+AT_ONCE = 1_000_000
 UNIT = re.compile(r"(?<=[.!?…。])\s+|\n+")
 TOKEN = re.compile(r"[^\W_]+")
 HOST = re.compile(r"https?://|www\.|\b[a-z0-9-]+\.(?:example|com|org|net|info|de|fr|es|it|nl|eu)\b", re.I)
@@ -70,8 +73,15 @@ def _runs(codes: np.ndarray, gap: int, least: int) -> np.ndarray:
     return out
 
 
-def recurrence(codes: np.ndarray, plain: np.ndarray) -> np.ndarray:
-    """Of each word: whether it is part of a term that keeps coming back at short gaps.
+def _pairs(codes: np.ndarray, plain: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A number for each pair of neighbouring words; pairs of function words, or across documents, are all different."""
+    n = len(codes)
+    _, pair = np.unique(codes[:-1] * (n + 1) + codes[1:], return_inverse=True)
+    return np.where((plain[:-1] | plain[1:]) & (doc[:-1] == doc[1:]), pair, -1 - np.arange(n - 1))
+
+
+def recurrence(codes: np.ndarray, plain: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of each word: whether it is part of a term that keeps coming back at short gaps. Words of different documents have different codes.
 
     A pair of neighbouring words, not both function words, counts from three uses with gaps of at most GAP; a single
     word that is no function word from four uses with gaps of at most GAP - 1.
@@ -79,9 +89,7 @@ def recurrence(codes: np.ndarray, plain: np.ndarray) -> np.ndarray:
     n = len(codes)
     out = _runs(np.where(plain, codes, -1 - np.arange(n)), GAP - 1, 4)
     if n > 2:
-        _, pair = np.unique(codes[:-1] * (n + 1) + codes[1:], return_inverse=True)
-        pair = np.where(plain[:-1] | plain[1:], pair, -1 - np.arange(n - 1))
-        at = np.flatnonzero(_runs(pair, GAP, 3))
+        at = np.flatnonzero(_runs(_pairs(codes, plain, doc), GAP, 3))
         out[at] = True
         out[at + 1] = True
     return out
@@ -111,7 +119,7 @@ def _even(codes: np.ndarray, unit: np.ndarray) -> np.ndarray:
     return out
 
 
-def regularity(codes: np.ndarray, plain: np.ndarray, unit: np.ndarray) -> np.ndarray:
+def regularity(codes: np.ndarray, plain: np.ndarray, unit: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Of each word: whether it is part of a term that keeps coming back at even gaps over the whole document.
 
     Terms are those of `recurrence`: words that are no function words, and pairs of words that are not both.
@@ -119,89 +127,135 @@ def regularity(codes: np.ndarray, plain: np.ndarray, unit: np.ndarray) -> np.nda
     n = len(codes)
     out = _even(np.where(plain, codes, -1 - np.arange(n)), unit)
     if n > 2:
-        _, pair = np.unique(codes[:-1] * (n + 1) + codes[1:], return_inverse=True)
-        at = np.flatnonzero(_even(np.where(plain[:-1] | plain[1:], pair, -1 - np.arange(n - 1)), unit))
+        at = np.flatnonzero(_even(_pairs(codes, plain, doc), unit))
         out[at] = out[at + 1] = True
     return out
 
 
-def _key_phrase(codes: np.ndarray, plain: np.ndarray) -> np.ndarray:
-    """Of each word: whether it stands in the pair of words that most often comes back at short gaps."""
+def _key_phrase(codes: np.ndarray, plain: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Of each word: whether it stands in the pair of words that in its document most often comes back at short gaps."""
     out = np.zeros(len(codes), bool)
     if len(codes) < 6:
         return out
-    _, pair = np.unique(codes[:-1] * (len(codes) + 1) + codes[1:], return_inverse=True)
-    runs = _runs(np.where(plain[:-1] | plain[1:], pair, -1 - np.arange(len(pair))), GAP, 3)
-    if runs.any():
-        at = np.flatnonzero(pair == np.bincount(pair[runs]).argmax())
+    pair = _pairs(codes, plain, doc)
+    runs = np.flatnonzero(_runs(pair, GAP, 3))
+    if len(runs):
+        kinds, first, n = np.unique(pair[runs], return_index=True, return_counts=True)
+        of = doc[runs[first]]
+        order = np.lexsort((kinds, -n, of))  # of a document's pairs the most frequent one, the first seen at ties
+        best = kinds[order[np.r_[True, of[order][1:] != of[order][:-1]]]]
+        at = np.flatnonzero(np.isin(pair, best))
         out[at] = out[at + 1] = True
     return out
 
 
-def autocorrelation(codes: np.ndarray, first: int = 1, last: int = LAGS) -> tuple[int, float]:
-    """The lag at which most words equal the word that many places on, and the share that do."""
-    best = (0, 0.0)
-    for lag in range(first, min(last, len(codes) - 1) + 1):
-        share = float((codes[lag:] == codes[:-lag]).sum()) / len(codes)
-        if share > best[1]:
-            best = (lag, share)
+def autocorrelation(codes: np.ndarray, unit: np.ndarray, last: int = LAGS) -> np.ndarray:
+    """Of each unit: the share of its words that equal the word some lag on in the unit, at the lag where most do."""
+    n = np.bincount(unit)
+    best = np.zeros(len(n))
+    for lag in range(1, min(last, len(codes) - 1) + 1):
+        same = (codes[lag:] == codes[:-lag]) & (unit[lag:] == unit[:-lag])
+        best = np.maximum(best, np.bincount(unit[:-lag], weights=same, minlength=len(n)) / np.maximum(1, n))
     return best
 
 
-def stretches(text: str) -> list[tuple[str, int, bool]]:
-    """(stretch, words, spam) of a text: sentences and lines, with lines of a list taken together."""
+def _cut(text: str) -> tuple[list[str], list[list[str]]]:
+    """(units, words of each) of a text: sentences and lines, with lines of a list taken together."""
     units: list[str] = []
-    listed: list[bool] = []
+    words: list[list[str]] = []
+    listed = False
     for u in UNIT.split(text):
-        if not u.strip():
-            continue
         w = TOKEN.findall(u)
         if not w:
             continue
-        item = bool(HOST.search(u) or LIST_MARK.match(u)) or len(w) <= 8 and u.rstrip()[-1] not in ".!?…。" and not u.startswith("==")
-        if units and listed[-1] and item:
+        named = ("." in u[:-1] or "://" in u) and HOST.search(u)
+        item = bool(named or LIST_MARK.match(u)) or len(w) <= 8 and u.rstrip()[-1] not in ".!?…。" and not u.startswith("==")
+        if units and listed and item:
             units[-1] += "\n" + u
+            words[-1] += w
         else:
             units.append(u)
-            listed.append(item)
-    if not units:
-        return []
-    words = [[w.lower() for w in TOKEN.findall(u)] for u in units]
-    flat = [w for ws in words for w in ws]
-    known: dict[str, int] = {}
-    codes = np.array([known.setdefault(w, len(known)) for w in flat])
-    plain = np.array([w not in FUNCTION and not w.isdigit() for w in flat])
-    again = recurrence(codes, plain)
-    even = again | regularity(codes, plain, np.repeat(np.arange(len(units)), [len(ws) for ws in words]))
-    key = _key_phrase(codes, plain)
-    heard: list[tuple[int, int]] = []
-    out, at = [], 0
-    for u, ws in zip(units, words):
-        n = len(ws)
-        part, beats, own, pl = again[at : at + n], even[at : at + n], codes[at : at + n], plain[at : at + n]
-        at += n
-        bare = sum(w in FUNCTION or bool(KANA.search(w)) for w in ws) / n
-        share = part.mean()
-        parts = [x for x in ITEMS.split(u.replace("\n", ";")) if x.strip()]
-        items = len(parts)
-        fields = items >= 2 and sum(bool(FIELD.match(x)) for x in parts) * 2 >= items
-        _, beat = autocorrelation(own) if n >= 12 else (0, 0.0)
-        stuffed = n >= 6 and (share >= STUFFED or beat >= 0.4 and pl.mean() > 0.5 or not fields and beats.mean() >= STUFFED)
-        names = n >= 8 and items >= 4 and bare <= (BARE if items < 8 else 2 * BARE) and n / items <= 6 or n >= LONG and bare <= BARE
-        names = names and not fields
-        priced = n >= 12 and bare <= 2 * BARE and not fields and sum(any(c.isdigit() for c in w) for w in ws) >= PRICED * n
-        links = len(HOST.findall(u)) >= 2 and bare <= 2 * BARE
-        tags = u.count("#") >= 3 and bare <= 2 * BARE
-        mixed = n >= 2 * LONG and bare <= 2 * BARE and share >= KEYED / 2 and not fields
-        heard.append((int(key[at - n : at].sum()), n))
-        out.append((u, n, bool(mixed or stuffed or names or priced or links or tags)))
+            words.append(w)
+            listed = item
+    return units, words
+
+
+class _Seen:
+    """What is asked of a word alone, remembered: 1 a function word, 2 only digits, 4 a digit in it, 8 no bare name. The memory is bounded."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def of(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > 500_000:
+            known.clear()
+        out = []
+        for w in words:
+            x = known.get(w)
+            if x is None:
+                f = w in FUNCTION
+                x = known[w] = f + 2 * w.isdigit() + 4 * any(c.isdigit() for c in w) + 8 * (f or bool(KANA.search(w)))
+            out.append(x)
+        return np.array(out, np.int64)
+
+
+def judged(texts: list[str], seen: _Seen | None = None, lags_only: bool = False) -> list[list[tuple[str, int, bool]]]:
+    """(stretch, words, spam) of each text; gaps, lags and counts are worked out for all texts at once.
+
+    `lags_only` goes by gaps and lags alone, without the rules for lists.
+    """
+    seen = seen or _Seen()
+    cut = [_cut(t) for t in texts]
+    flat = [w.lower() for _, words in cut for ws in words for w in ws]
+    out: list[list[tuple[str, int, bool]]] = [[] for _ in texts]
+    if not flat:
+        return out
+    size = np.array([len(ws) for _, words in cut for ws in words])
+    unit = np.repeat(np.arange(len(size)), size)
+    doc_of = np.repeat(np.arange(len(cut)), [len(u) for u, _ in cut])
+    doc = doc_of[unit]
+    known: dict[tuple[int, str], int] = {}
+    codes = np.array([known.setdefault(k, len(known)) for k in zip(doc.tolist(), flat)])
+    facts = seen.of(flat)
+    plain = facts & 3 == 0
+    first = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
+    per = lambda x: np.add.reduceat(x.astype(float), first) / size
+    again = recurrence(codes, plain, doc)
+    share, beats = per(again), per(again | regularity(codes, plain, unit, doc))
+    key = np.add.reduceat(_key_phrase(codes, plain, doc).astype(np.int64), first)
+    bare, digits, pl, beat = per(facts & 8 > 0), per(facts & 4 > 0), per(plain), autocorrelation(codes, unit)
+    stuffed = (size >= 6) & ((share >= STUFFED) | (size >= 12) & (beat >= 0.4) & (pl > 0.5))
+    few = bare <= 2 * BARE
+    k = 0
+    for d, (units, _) in enumerate(cut):
+        for u in units:
+            n, bad = int(size[k]), bool(stuffed[k])
+            even = n >= 6 and beats[k] >= STUFFED
+            if not bad and lags_only:
+                bad = even
+            elif not bad and (few[k] or even):
+                parts = [x for x in ITEMS.split(u.replace("\n", ";")) if x.strip()]
+                items = len(parts)
+                if not (items >= 2 and sum(bool(FIELD.match(x)) for x in parts) * 2 >= items):  # labelled fields are no list
+                    names = n >= 8 and items >= 4 and bare[k] <= (BARE if items < 8 else 2 * BARE) and n / items <= 6 or n >= LONG and bare[k] <= BARE
+                    bad = bool(even or names or few[k] and (n >= 12 and digits[k] >= PRICED or n >= 2 * LONG and share[k] >= KEYED / 2))
+                bad = bad or bool(few[k] and (u.count("#") >= 3 or len(HOST.findall(u)) >= 2))
+            out[d].append((u, n, bad))
+            k += 1
     # Sentences that only repeat one key phrase: together they are stuffed although single ones may not be.
-    said, of = sum(k for k, _ in heard if k), sum(n for k, n in heard if k)
-    if of and said >= KEYED * of:
-        out = [(u, n, bad or k > 0) for (u, n, bad), (k, _) in zip(out, heard)]
+    said, of = np.bincount(doc_of, weights=key, minlength=len(cut)), np.bincount(doc_of, weights=np.where(key > 0, size, 0), minlength=len(cut))
+    start = np.concatenate(([0], np.cumsum([len(u) for u, _ in cut])))
+    for d in np.flatnonzero((of > 0) & (said >= KEYED * of)):
+        out[d] = [(u, n, bad or key[start[d] + i] > 0) for i, (u, n, bad) in enumerate(out[d])]
     return out
 
 
+def stretches(text: str) -> list[tuple[str, int, bool]]:
+    """(stretch, words, spam) of one text."""
+    return judged([text])[0]
+
+
 def spam_share(text: str) -> tuple[int, int]:
     """(words in spam stretches, words)."""
     s = stretches(text)
@@ -210,8 +264,11 @@ def spam_share(text: str) -> tuple[int, int]:
 
 def _find(share: float, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = _Seen()
         for b in batches:
-            counts = [spam_share(t) for t in b.column("text").to_pylist()]
+            texts = b.column("text").to_pylist()
+            parts = [x for lo, hi in slices(texts, AT_ONCE) for x in judged(texts[lo:hi], seen)]
+            counts = [(sum(n for _, n, bad in s if bad), sum(n for _, n, _ in s)) for s in parts]
             case = [n >= least and bad > share * n for bad, n in counts]
             yield pa.record_batch({
                 "id": b.column("id").filter(pa.array(case, pa.bool_())),
