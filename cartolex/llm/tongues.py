@@ -190,25 +190,22 @@ class Tongues:
         either outcome are added, so no lead is certain.
         """
         L = len(self.names)
-        self.limit, self.apart, self.slope = np.full(L, np.inf), 1.0, (1.0, 0.0)
+        self.limit, self.apart, self.slope = np.full(L, np.inf), np.ones(L), (1.0, 0.0)
         mine = lambda w: _hash(w, 7) >> 63 == 0
         half = Tongues.__new__(Tongues)
         half.names = self.names
         half._count({k: [" ".join(filter(mine, WORDS.findall(t.lower()))) for t in fitted.get(k, ())] for k in self.names})
-        spread_ = []
         for j, name in enumerate(self.names):
             rest = [" ".join(w for w in WORDS.findall(x.lower()) if not mine(w)) for t in fitted.get(name, ())[:60] for x in segments(t)]
             score, chars, _ = half.scores([x for x in rest if len(x) >= TOLD])
             if len(score) >= 20:
                 e = -score[:, j] / chars
                 self.limit[j] = float(e.mean())
-                spread_.append(e.std())
+                self.apart[j] = max(0.2, float(e.std()))
             seen, n, words = self.scores([x for t in held.get(name, ()) for x in segments(t)])
             seen = -seen[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j), j] / n[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j)] if len(n) else n
             if len(seen) >= 20:
                 self.limit[j] = max(self.limit[j], float(np.quantile(seen, 0.999))) if self.limit[j] < np.inf else np.inf
-        if spread_:
-            self.apart = float(np.mean(spread_))
         x, y = [], []
         for j, name in enumerate(self.names):
             for t in held.get(name, ()):
@@ -246,7 +243,7 @@ class Tongues:
     def _beyond(self, score: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """By how many deviations each segment's best language is beyond its limit."""
         best = score.argmax(1) if score.size else np.zeros(len(score), np.int64)
-        return (-score[np.arange(len(score)), best] / np.maximum(1, chars) - self.limit[best]) / self.apart
+        return (-score[np.arange(len(score)), best] / np.maximum(1, chars) - self.limit[best]) / self.apart[best]
 
     def language(self, text: str) -> str | None:
         s, n, _ = self.scores([text])
