@@ -107,20 +107,37 @@ def _segments(ring: np.ndarray) -> np.ndarray:
     return np.hstack((ring[:-1], ring[1:]))
 
 
-def _meetings(a: np.ndarray, b: np.ndarray, block: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(i, j, proper) for pairs of segments of a and b that share a point; pairs whose boxes are apart are not tested."""
-    lob, hib = np.minimum(b[:, :2], b[:, 2:]), np.maximum(b[:, :2], b[:, 2:])
-    for at in range(0, len(a), block):
-        s = a[at : at + block]
-        lo, hi = np.minimum(s[:, :2], s[:, 2:]), np.maximum(s[:, :2], s[:, 2:])
-        near = (lo[:, None, 0] <= hib[None, :, 0]) & (hi[:, None, 0] >= lob[None, :, 0]) & (lo[:, None, 1] <= hib[None, :, 1]) & (hi[:, None, 1] >= lob[None, :, 1])
-        i, j = np.nonzero(near)
-        p, q = s[i].T, b[j].T
+def _meetings(a: np.ndarray, b: np.ndarray, at_once: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, proper) for pairs of segments of a and b that share a point.
+
+    A sweep: segments of b are sorted by their lower bound along the axis that leaves fewer pairs, and each segment of a
+    meets those whose bounds there reach it, at most `at_once` pairs at a time.
+    """
+    los, his = [np.minimum(x[:, :2], x[:, 2:]) for x in (a, b)], [np.maximum(x[:, :2], x[:, 2:]) for x in (a, b)]
+    sweeps = []
+    for k in (0, 1):
+        order = np.argsort(los[1][:, k], kind="stable")
+        low = los[1][order, k]
+        first = np.searchsorted(low, los[0][:, k] - (his[1][:, k] - los[1][:, k]).max(initial=0), "left")
+        past = np.searchsorted(low, his[0][:, k], "right")
+        sweeps.append((int(np.maximum(0, past - first).sum()), order, first, np.maximum(0, past - first)))
+    _, order, first, n = min(sweeps, key=lambda x: x[0])
+    ends = np.cumsum(n)
+    lo = 0
+    while lo < len(a):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + at_once, "right")))
+        m = n[lo:hi]
+        i = np.repeat(np.arange(lo, lo + len(m)), m)
+        j = order[np.repeat(first[lo:hi], m) + np.arange(len(i)) - np.repeat(np.cumsum(m) - m, m)]
+        lo = hi
+        near = ((los[0][i] <= his[1][j]) & (his[0][i] >= los[1][j])).all(1)
+        i, j = i[near], j[near]
+        p, q = a[i].T, b[j].T
         d1, d2 = _orient(q[0], q[1], q[2], q[3], p[0], p[1]), _orient(q[0], q[1], q[2], q[3], p[2], p[3])
         d3, d4 = _orient(p[0], p[1], p[2], p[3], q[0], q[1]), _orient(p[0], p[1], p[2], p[3], q[2], q[3])
         meet = (d1 * d2 <= 0) & (d3 * d4 <= 0)
         proper = meet & (((d1 * d2 < 0) & (d3 * d4 < 0)) | ((d1 == 0) & (d2 == 0)))
-        yield i[meet] + at, j[meet], proper[meet]
+        yield i[meet], j[meet], proper[meet]
 
 
 def _inside(point: np.ndarray, ring: np.ndarray) -> int:
@@ -169,6 +186,11 @@ def _simple(ring: np.ndarray) -> bool:
         return False
     if len(ring) <= 24:
         return _few_simple([tuple(x) for x in ring.tolist()])
+    return _many_simple(ring)
+
+
+def _many_simple(ring: np.ndarray) -> bool:
+    """As `_few_simple`, by a sweep over all segments."""
     s, n = _segments(ring), len(ring) - 1
     for i, j, proper in _meetings(s, s):
         gap = (j - i) % n

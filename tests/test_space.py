@@ -26,6 +26,32 @@ def test_usable(text, ok):
     assert geo.is_usable(geo.from_geojson(text)) is ok
 
 
+def test_both_ways_to_tell_simple_rings_agree():
+    rng = random.Random(8)
+    seen = set()
+    for _ in range(600):
+        n = rng.randint(3, 9)
+        pts = [(rng.randint(0, 5), rng.randint(0, 5)) for _ in range(n)]
+        if len(set(pts)) < 3 or any(a == b for a, b in zip(pts, [*pts[1:], pts[0]])):
+            continue
+        ring = [*pts, pts[0]]
+        one, two = geo._few_simple(ring), geo._many_simple(np.array(ring, float))
+        assert one == two, ring
+        seen.add(one)
+    assert seen == {True, False}
+
+
+def test_long_outlines_are_swept():
+    """Many thousand points take no square of them; one crossing anywhere is found."""
+    a = np.linspace(0, 2 * np.pi, 40_001)
+    ring = np.stack((np.cos(a) * (1 + 0.01 * np.cos(900 * a)), np.sin(a) * (1 + 0.01 * np.cos(900 * a))), 1)
+    ring[-1] = ring[0]
+    assert geo.is_usable([[ring]])
+    bent = ring.copy()
+    bent[20_000] = (0.9, 0.9)
+    assert not geo.is_usable([[bent]])
+
+
 def test_parts_must_not_overlap():
     far = [(x + 10, y) for x, y in SQUARE]
     near = [(x + 2, y) for x, y in SQUARE]
