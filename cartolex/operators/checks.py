@@ -25,7 +25,7 @@ def is_full_revision(x: Column, upper: bool = False) -> Column:
 
 
 def report(violations: DataFrame) -> DataFrame:
-    """(code, n, samples): the count and the five smallest culprits of each code of (code, culprit[, times]) rows.
+    """(code, n, samples): the count and the five smallest culprits, as often as they come, of each code of (code, culprit[, times]) rows.
 
     The checks run once: their rows are counted by culprit, with a partial step before the shuffle, and written. Null
     culprits come last; the group limit of the planner cuts each task's culprits to five before they meet.
@@ -33,7 +33,9 @@ def report(violations: DataFrame) -> DataFrame:
     weight = F.sum("times") if "times" in violations.columns else F.count("*")
     by = materialise(violations.groupBy("code", F.col("culprit").cast("string").alias("culprit")).agg(weight.alias("n")))
     ranked = by.withColumn("rn", F.row_number().over(Window.partitionBy("code").orderBy(F.asc_nulls_last("culprit")))).where(F.col("rn") <= SAMPLES)
-    some = ranked.groupBy("code").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "culprit"))), lambda x: x["culprit"]).alias("samples"))
+    first = F.array_sort(F.collect_list(F.struct("rn", "culprit", "n")))
+    again = F.flatten(F.transform(first, lambda x: F.array_repeat(x["culprit"], F.least(x["n"], F.lit(SAMPLES)).cast("int"))))
+    some = ranked.groupBy("code").agg(F.slice(again, 1, SAMPLES).alias("samples"))
     return by.groupBy("code").agg(F.sum("n").alias("n")).join(some, "code")
 
 

@@ -106,8 +106,19 @@ def test_finite(spark):
 
 
 def test_struct_distinct_counts_nulls(spark):
-    df = spark.createDataFrame([("p", None, 1.0, 1.0, 1.0, "r"), ("p", 10, 1.0, 1.0, 1.0, "r")], "polygon_id string, worldcover_code long, lat double, lon double, polygon_area_m2 double, region string")
-    assert checks.inconsistent_polygons(df).count() == 1
+    df = spark.createDataFrame([("p", None, 1.0, 1.0, 1.0, "c"), ("p", 10, 1.0, 1.0, 1.0, "c"), ("q", 10, 1.0, 1.0, 1.0, "c"), ("q", 10, 1.0, 1.0, 1.0, "d")], "polygon_id string, worldcover_code long, lat double, lon double, polygon_area_m2 double, h3_cell string")
+    assert checks.inconsistent_polygons(df).count() == 2
+
+
+def test_null_keys_leak_like_others(spark):
+    df = spark.createDataFrame([(None, "train"), (None, "test"), ("a", "train")], "polygon_id string, split string")
+    assert [tuple(r) for r in checks.leaking(df, "polygon_id").collect()] == [(None, 2)]
+
+
+def test_samples_repeat_as_culprits_do(spark):
+    df = spark.createDataFrame([("c", "b", 1 << 33), ("c", "a", 2), ("d", None, 1)], "code string, culprit string, times long")
+    got = {r["code"]: (r["n"], r["samples"]) for r in checks.report(df).collect()}
+    assert got == {"c": ((1 << 33) + 2, ["a", "a", "b", "b", "b"]), "d": (1, [None])}
 
 
 def test_ledger(spark):

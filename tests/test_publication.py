@@ -3,6 +3,8 @@
 import json
 import os
 import shutil
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -304,14 +306,9 @@ def test_locks(tmp_path):
     with locks.write_lock(target), locks.write_lock(target), locks.read_lock(target):
         pass
     with locks.scratch_lock(tmp_path / "w"):
-        pid = os.fork()
-        if not pid:
-            try:
-                with locks.scratch_lock(tmp_path / "w"):
-                    os._exit(1)
-            except OSError:
-                os._exit(0)
-        assert os.waitpid(pid, 0)[1] == 0
+        other = "import sys; sys.path.insert(0, sys.argv[1])\nfrom cartolex.publication import locks\ntry:\n    with locks.scratch_lock(sys.argv[2]): sys.exit(1)\nexcept OSError: pass"
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        assert subprocess.run([sys.executable, "-c", other, root, str(tmp_path / "w")]).returncode == 0
 
 
 def test_small_files(tmp_path):

@@ -40,10 +40,10 @@ def test_tolerant_scan(spark, tmp_path):
 def test_release_is_ordered_and_repeatable(spark, sf, tmp_path):
     rows = spark.read.parquet(f"{sf}/release_rows.parquet")
     a, b = release.build(spark, rows, str(tmp_path / "a")), release.build(spark, rows, str(tmp_path / "b"))
-    assert a == b and a["splits"]["total"]["examples"] > 0
+    assert a == b and a["counts"]["examples"]["total"] > 0
     for name in ("train", "validation", "test"):
         got = [[tuple(r) for r in spark.read.parquet(str(tmp_path / x / f"{name}.parquet")).select("polygon_id", "document_id", "example_id").collect()] for x in "ab"]
-        assert sorted(got[0]) == sorted(got[1]) and len(got[0]) == a["splits"][name]["examples"]
+        assert sorted(got[0]) == sorted(got[1]) and len(got[0]) == a["counts"]["examples"][name]
 
 
 def test_single_files_have_equal_bytes(spark, sf, tmp_path):
