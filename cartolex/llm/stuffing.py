@@ -149,14 +149,16 @@ def _key_phrase(codes: np.ndarray, plain: np.ndarray, doc: np.ndarray) -> np.nda
     return out
 
 
-def autocorrelation(codes: np.ndarray, unit: np.ndarray, last: int = LAGS) -> np.ndarray:
-    """Of each unit: the share of its words that equal the word some lag on in the unit, at the lag where most do."""
+def autocorrelation(codes: np.ndarray, unit: np.ndarray | None = None, last: int = LAGS) -> tuple[np.ndarray, np.ndarray]:
+    """(lag, share) of each unit: the lag at which most words equal the word that many places on in the unit, and the share that do."""
+    unit = np.zeros(len(codes), np.int64) if unit is None else unit
     n = np.bincount(unit)
-    best = np.zeros(len(n))
+    at, best = np.zeros(len(n), np.int64), np.zeros(len(n))
     for lag in range(1, min(last, len(codes) - 1) + 1):
         same = (codes[lag:] == codes[:-lag]) & (unit[lag:] == unit[:-lag])
-        best = np.maximum(best, np.bincount(unit[:-lag], weights=same, minlength=len(n)) / np.maximum(1, n))
-    return best
+        share = np.bincount(unit[:-lag], weights=same, minlength=len(n)) / np.maximum(1, n)
+        at, best = np.where(share > best, lag, at), np.maximum(best, share)
+    return at, best
 
 
 def _cut(text: str) -> tuple[list[str], list[list[str]]]:
@@ -224,7 +226,7 @@ def judged(texts: list[str], seen: _Seen | None = None, lags_only: bool = False)
     again = recurrence(codes, plain, doc)
     share, beats = per(again), per(again | regularity(codes, plain, unit, doc))
     key = np.add.reduceat(_key_phrase(codes, plain, doc).astype(np.int64), first)
-    bare, digits, pl, beat = per(facts & 8 > 0), per(facts & 4 > 0), per(plain), autocorrelation(codes, unit)
+    bare, digits, pl, beat = per(facts & 8 > 0), per(facts & 4 > 0), per(plain), autocorrelation(codes, unit)[1]
     stuffed = (size >= 6) & ((share >= STUFFED) | (size >= 12) & (beat >= 0.4) & (pl > 0.5))
     few = bare <= 2 * BARE
     k = 0
