@@ -65,13 +65,16 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Logistic regression with classes of equal weight, pulled towards `prior`; adaptive full gradients."""
     row, col, value = triples
-    w = np.zeros(width) if prior is None else prior.copy()
-    start, b = w.copy(), 0.0
+    # Only features that the sample has are iterated; the others keep their start.
+    used, col = np.unique(col, return_inverse=True)
+    out = np.zeros(width) if prior is None else prior.copy()
+    start, b = out[used], 0.0
+    w, width = start.copy(), len(used)
     n1, n0 = max(1, int(labels.sum())), max(1, int((1 - labels).sum()))
     weight = np.where(labels == 1, 0.5 / n1, 0.5 / n0)
     seen, seen_b = np.full(width, 1e-8), 1e-8
     for _ in range(rounds):
-        z = scores(w, b, len(labels), triples)
+        z = scores(w, b, len(labels), (row, col, value))
         g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - labels) * weight
         grad = np.bincount(col, weights=g[row] * value, minlength=width) + penalty * (w - start)
         gb = g.sum()
@@ -79,4 +82,5 @@ def fit(
         seen_b += gb**2
         w -= rate * grad / np.sqrt(seen)
         b -= rate * gb / np.sqrt(seen_b)
-    return w, b
+    out[used] = w
+    return out, b
