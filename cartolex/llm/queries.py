@@ -45,7 +45,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     rows, pages = read_table(spark, sf, "release_rows"), read_table(spark, sf, "website")
-    model = tongues.Tongues(tongues.samples(rows))
+    model = tongues.fitted(rows)
     found = tongues.mislabelled(rows, model, "release_rows")
     return found.unionByName(tongues.mislabelled_pages(pages, model, residue.fitted(pages), "website"))
 
@@ -53,7 +53,7 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Every text of the release and of the website, and every segment of it; a text's own row has no segment_no."""
     rows, pages = read_table(spark, sf, "release_rows"), read_table(spark, sf, "website")
-    model = tongues.Tongues(tongues.samples(rows))
+    model = tongues.fitted(rows)
     found = tongues.segment_languages(rows, model, whole=True).withColumn("tab_name", F.lit("release_rows"))
     of_pages = tongues.segment_languages(pages, model, "page_id", "website_text", whole=True, pages=layout.fitted(pages)).withColumn("tab_name", F.lit("website"))
     return found.unionByName(of_pages).select("tab_name", F.col("id").alias("row_id"), "segment_no", "segment", "lang", "confidence")

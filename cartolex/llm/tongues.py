@@ -4,18 +4,23 @@ An interpolated Kneser-Ney model of the characters of words for each language; t
 one sorted array of hashes with a row of probabilities each. A word is scored once per task for all languages, a
 segment by the sum over its words; the language of lowest cross-entropy per character wins, unless its calibrated
 limit is passed: a segment that costs as much as a language's unseen words do is `und`, written in none of the languages.
-Confidence is calibrated on texts that were held out.
+Models count all labelled texts. Limits and confidence are calibrated on all of them as well, each text read by models
+that counted the other half of the texts.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.runtime import spread
@@ -36,11 +41,16 @@ ORDER = 5
 TOLD = 24
 #: Deviations beyond a limit from which a few letters do.
 FAR = 8.0
+#: Lead, as the logarithm of a ratio of probabilities, from which a segment is clearly in a language.
+CLEAR = 9.0
+#: Costs per character and logarithms of leads are tallied by so many steps a unit.
+COST_STEPS, LEAD_STEPS = 4096, 256
+#: Distinct words that a task counts before it spells them and passes the n-grams on.
+AT_ONCE = 300_000
 WORDS = re.compile(r"[^\W\d_]+")
-#: Ends of segments: ends of sentences, fields and lines.
-SEGMENTS = re.compile(r"(?<=[.!?…])\s+|[。！？;|\n\r]+|\s[–/]\s|//")
+#: Ends of segments: ends of sentences, fields and lines. All begin with one class of characters, so that the search skips others.
+SEGMENTS = re.compile(r"[\s。！？;|/](?:(?<=[.!?…]\s)\s*|(?<=[。！？;|\n\r])[。！？;|\n\r]*|(?<=\s)[–/]\s|(?<=/)/)")
 _MUL = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 def label_language(label: Column) -> Column:
@@ -50,81 +60,127 @@ def label_language(label: Column) -> Column:
     return F.when(first != "", F.try_element_at(named, first))
 
 
-def _hash(text: str, seed: int) -> int:
-    h = seed
-    for c in text:
-        h = ((h ^ ord(c)) * _MUL) & _MASK
-        h ^= h >> 29
-    return h
+def _side(text: str) -> int:
+    """Which half of the texts, or of the words, one belongs to: 0 or 1."""
+    return zlib.crc32(text.encode()) & 1
+
+
+@lru_cache(1 << 18)
+def _side_of_word(word: str) -> int:
+    return _side(word)
+
+
+def _hashes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of n-grams of one length, a row of characters each, and of what stands before their last character."""
+    h = before = np.full(len(codes), codes.shape[1], np.uint64)
+    for c in codes.T:
+        before = h
+        h = (h ^ c) * np.uint64(_MUL)
+        h ^= h >> np.uint64(29)
+    return h, before
+
+
+class Grams:
+    """Counts of the n-grams of all languages: a row each of its language, characters, length and counts."""
+
+    def __init__(self, table: pa.Table, names: list[str]) -> None:
+        self.lang = pc.index_in(table["l"], pa.array(names, pa.string())).to_numpy().astype(np.int64)
+        self.size = pc.utf8_length(table["g"]).to_numpy().astype(np.int64)
+        self.codes = np.zeros((len(table), ORDER), np.uint64)
+        row = np.repeat(np.arange(len(table)), self.size)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.codes[row, place] = np.frombuffer("".join(table["g"].to_pylist()).encode("utf-32-le"), np.uint32)
+        #: of texts of either side, and of words of side 1
+        self.sides = [table[c].to_numpy().astype(np.int64) for c in ("n0", "n1")]
+        self.half = table["half"].to_numpy().astype(np.int64)
 
 
 class Tongues:
-    """The models of all languages."""
+    """The models of all languages, of texts by language; `fitted` makes those of a table."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
-        self.names = [k for k in LANGUAGES if samples.get(k)]
-        kept = samples
-        for again in (False, True):
-            if again:  # texts whose label is wrong leave the sample
-                kept = {k: [t for t in v if self.language(t) == k] or v for k, v in samples.items()}
-            fitted = {k: [t for i, t in enumerate(v) if i % 10 or len(v) < 10] for k, v in kept.items()}
-            self._count(fitted)
-        self._calibrate({k: [t for i, t in enumerate(v) if not i % 10] for k, v in kept.items()}, fitted)
-
-    def _count(self, samples: dict[str, list[str]]) -> None:
+        rows = [(k, t) for k in LANGUAGES for t in samples.get(k, ())]
+        table = pa.table({"l": pa.array([k for k, _ in rows], pa.string()), "t": pa.array([t for _, t in rows], pa.string())})
+
+        def gathered(*passes: Pass) -> pa.Table:
+            found = table
+            for run, schema, keys in passes:
+                found = pa.Table.from_batches(run(iter(found.to_batches(max_chunksize=10_000))), _arrow(schema))
+                sums = [c for c in found.column_names if c not in keys]
+                found = found.group_by(keys).aggregate([(c, "sum") for c in sums]).rename_columns({f"{c}_sum": c for c in sums})
+            return found
+
+        self._fit(gathered)
+
+    def _fit(self, gathered: Callable[..., pa.Table]) -> None:
+        """`gathered` runs a pass over all labelled texts, and others over what comes out, each summed by its keys.
+
+        Counts of the texts of the other side tell which texts and segments are in another language than their label's, so
+        that no text vouches for itself; those of the rest make the models. A language none of whose texts is read as its own keeps them all.
+        """
+        raw = gathered(_counting(None), SPELLING)
+        there = pc.unique(raw["l"]).to_pylist()
+        self.names = [k for k in LANGUAGES if k in there]
+        self.limit, self.apart, self.slope = np.full(len(self.names), np.inf), np.ones(len(self.names)), (1.0, 0.0)
+        grams = Grams(raw, self.names)
+        if not self.names:
+            self._count(grams, grams.half)
+            return
+        own = gathered(_counting((self._like(grams, grams.sides[1]), self._like(grams, grams.sides[0]))), SPELLING)
+        lost = raw.filter(pc.invert(pc.is_in(raw["l"], own["l"].combine_chunks())))
+        grams = Grams(pa.concat_tables([own, lost]), self.names)
+        self._count(grams, sum(grams.sides))
+        others = [self._like(grams, counts) for counts in (grams.sides[1], grams.sides[0], grams.half)]
+        self._calibrate(gathered(_costing(*others)))
+
+    def _like(self, grams: Grams, counts: np.ndarray) -> Tongues:
+        """Models of the same languages by other counts."""
+        other = Tongues.__new__(Tongues)
+        other.names = self.names
+        other._count(grams, counts)
+        return other
+
+    def _count(self, grams: Grams, counts: np.ndarray) -> None:
         self.cache: dict[str, int] = {}
-        L = len(self.names)
-        alpha: dict[str, np.ndarray] = {}
-        gamma: dict[str, np.ndarray] = {}
-        self.base = np.full(L, np.log(1e-7), np.float64)
-        for j, name in enumerate(self.names):
-            words = Counter(w for t in samples[name] for w in WORDS.findall(t.lower()))
-            top: Counter[str] = Counter()
-            for w, n in words.items():
-                p = " " + w + " "
-                for i in range(1, len(p)):
-                    top[p[max(0, i - ORDER + 1) : i + 1]] += n
+        self.kept: list[np.ndarray] = []
+        self.long: list[np.ndarray] = []
+        alpha: list[tuple[np.ndarray, int, np.ndarray]] = []
+        gamma: list[tuple[np.ndarray, int, np.ndarray]] = []
+        for j in range(len(self.names)):
+            at = np.flatnonzero((grams.lang == j) & (counts > 0))
+            # shorter ones are starts of words and keep their counts
+            starts = {k: at[grams.size[at] == k] for k in range(1, ORDER)}
+            top = at[grams.size[at] == ORDER]
+            g, n = grams.codes[top], counts[top]
             # counts of the highest order as they are, of lower orders by the characters that come before
-            counts = top
-            levels: list[Counter[str]] = []
             for k in range(ORDER, 0, -1):
-                levels.append(Counter({g: n for g, n in counts.items() if len(g) == k or len(g) < k and g[0] == " "}))
-                lower: Counter[str] = Counter()
-                for g in counts:
-                    if len(g) == k and k > 1:
-                        lower[g[1:]] += 1
-                for g, n in counts.items():
-                    if len(g) < k:  # starts of words keep their counts
-                        lower[g] += n
-                counts = lower
-            for level, grams in enumerate(levels):
-                k = ORDER - level
-                grams = {g: n for g, n in grams.items() if len(g) == k or (level == 0 and len(g) < k)}
-                once, twice = sum(n == 1 for n in grams.values()), sum(n == 2 for n in grams.values())
+                if k < ORDER:
+                    _, first, n = np.unique(_hashes(g[:, 1:])[0], return_index=True, return_counts=True)
+                    g, n = np.concatenate((g[first, 1:], grams.codes[starts[k], :k])), np.concatenate((n, counts[starts[k]]))
+                told = n if k < ORDER else counts[at]
+                once, twice = int((told == 1).sum()), int((told == 2).sum())
                 d = once / (once + 2 * twice) if once else 0.5
-                total: Counter[str] = Counter()
-                kinds: Counter[str] = Counter()
-                for g, n in grams.items():
-                    total[g[:-1]] += n
-                    kinds[g[:-1]] += 1
-                for g, n in grams.items():
-                    alpha.setdefault(f"{k if len(g) == k else len(g)}{g}", np.zeros(L))[j] = max(n - d, 0) / total[g[:-1]]
-                for h, n in total.items():
-                    gamma.setdefault(f"{len(h) + 1}{h}", np.ones(L))[j] = d * kinds[h] / n
-        self.alpha_key, self.alpha = self._table(alpha)
-        self.gamma_key, self.gamma = self._table(gamma)
-        self.kept: list[np.ndarray] = []
-
-    def _table(self, rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        key = np.array([_hash(g[1:], int(g[0])) for g in rows], np.uint64)
-        order = np.argsort(key)
-        value = np.array(list(rows.values()), np.float32).reshape(len(rows), len(self.names))
+                h, before = _hashes(g)
+                context, of = np.unique(before, return_inverse=True)
+                total, kinds = np.bincount(of, n), np.bincount(of)
+                alpha.append((h, j, np.maximum(n - d, 0) / total[of]))
+                gamma.append((context, j, d * kinds / total))
+        self.alpha_key, self.alpha = self._table(alpha, 0)
+        self.gamma_key, self.gamma = self._table(gamma, 1)
+
+    def _table(self, parts: list[tuple[np.ndarray, int, np.ndarray]], absent: float) -> tuple[np.ndarray, np.ndarray]:
+        key, row = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for h, _, _ in parts)]), return_inverse=True)
         # a last row stands for what is not in the table
-        return key[order], np.vstack((value[order], np.full((1, len(self.names)), -1, np.float32)))
+        value = np.full((len(key) + 1, len(self.names)), absent, np.float32)
+        at = 0
+        for h, j, x in parts:
+            value[row[at : at + len(h)], j] = x
+            at += len(h)
+        return key, value
 
     def _lookup(self, key: np.ndarray, table: np.ndarray, q: np.ndarray) -> np.ndarray:
         if not len(key):
-            return np.full((len(q), len(self.names)), -1, np.float32)
+            return table[np.zeros(len(q), np.int64)]
         at = np.minimum(np.searchsorted(key, q), len(key) - 1)
         return table[np.where(key[at] == q, at, len(key))]
 
@@ -137,21 +193,14 @@ class Tongues:
         place = np.arange(len(code)) - np.repeat(start, size)
         at = np.flatnonzero(place >= 1)
         p = np.full((len(at), len(self.names)), 1e-5, np.float32)  # a character that no model knows
-        ctx = np.zeros((ORDER, len(at)), np.uint64)
         for k in range(1, ORDER + 1):
-            has = place[at] >= k - 1
-            first = at - (k - 1)
-            h = np.full(len(at), k, np.uint64)
-            hc = h.copy()
+            on = np.flatnonzero(place[at] >= k - 1)
+            h = before = np.full(len(on), k, np.uint64)
             for i in range(k):
-                c = code[np.maximum(first + i, 0)]
-                if i == k - 1:
-                    hc = h.copy()
-                h = (h ^ c) * np.uint64(_MUL)
+                before = h
+                h = (h ^ code[at[on] - (k - 1) + i]) * np.uint64(_MUL)
                 h ^= h >> np.uint64(29)
-            a, g = self._lookup(self.alpha_key, self.alpha, h), self._lookup(self.gamma_key, self.gamma, hc)
-            a, g = np.maximum(a, 0), np.where(g < 0, 1, g)
-            p = np.where(has[:, None], a + g * p, p)
+            p[on] = self._lookup(self.alpha_key, self.alpha, h) + self._lookup(self.gamma_key, self.gamma, before) * p[on]
         word = np.repeat(np.arange(len(words)), size - 1)
         out = np.zeros((len(words), len(self.names)))
         logs = np.log(np.maximum(p, 1e-9))
@@ -160,71 +209,73 @@ class Tongues:
     def scores(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(log probability per language, characters, words) of each segment."""
         split = [WORDS.findall(s.lower()) for s in segments]
+        return self._scores(list(chain.from_iterable(split)), np.fromiter(map(len, split), np.int64, len(split)))
+
+    def _scores(self, flat: list[str], count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As `scores`, of segments whose words stand in one list, so many of each."""
         if len(self.cache) > 200_000:
             self.cache.clear()
-            self.kept = []
-        new = list(dict.fromkeys(w for s in split for w in s if w not in self.cache))
+            self.kept, self.long = [], []
+        new = [w for w in dict.fromkeys(flat) if w not in self.cache]
         if new:
             base = sum(len(x) for x in self.kept)
             self.cache.update((w, base + i) for i, w in enumerate(new))
             self.kept.append(self._words(new))
+            self.long.append(np.fromiter(map(len, new), np.int64, len(new)))
         if len(self.kept) > 1:
-            self.kept = [np.vstack(self.kept)]
-        ids = np.array([self.cache[w] for s in split for w in s], np.int64)
-        count = np.array([len(s) for s in split], np.int64)
-        row = np.repeat(np.arange(len(split)), count)
-        out = np.zeros((len(segments), len(self.names)))
-        if len(ids):
-            heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            out[row[heads]] = np.add.reduceat(self.kept[0][ids], heads, axis=0)
-        return out, np.array([sum(map(len, s)) + len(s) for s in split]), count
-
-    def _calibrate(self, held: dict[str, list[str]], fitted: dict[str, list[str]]) -> None:
+            self.kept, self.long = [np.vstack(self.kept)], [np.concatenate(self.long)]
+        out, chars = np.zeros((len(count), len(self.names))), np.zeros(len(count), np.int64)
+        if flat:
+            ids = np.fromiter(map(self.cache.__getitem__, flat), np.int64, len(flat))
+            there = np.flatnonzero(count)
+            heads = np.cumsum(count[there]) - count[there]
+            out[there] = np.add.reduceat(self.kept[0][ids], heads, axis=0)
+            chars[there] = np.add.reduceat(self.long[0][ids], heads) + count[there]
+        return out, chars, count
+
+    def own(self, part: Labelled) -> np.ndarray:
+        """Which segments are not clearly in another language than their text's label; none of a text that is as a whole."""
+        score, _, _ = self._scores(part.flat, part.count)
+        return part.fits(score) & (score.max(1) - score[np.arange(len(score)), part.label] < CLEAR)
+
+    def _calibrate(self, costs: pa.Table) -> None:
         """Limits of rejection, and the confidence of a lead.
 
         The limit of a language is what its own unseen words cost: models of one half of the words (by hash) give the mean
-        cross-entropy per character of the other half in running text (but never less than nearly all held-out segments cost). A text of new subjects still has the words that all
+        cross-entropy per character of the other half in running text (but never less than nearly all segments cost that
+        its model has not counted). A text of new subjects still has the words that all
         texts of its language share and stays below; a text of another language has none of them. Confidence is the
-        logistic regression, on segments of texts held out, of the best language being the labelled one on the logarithm
+        logistic regression, on segments of texts not counted, of the best language being the labelled one on the logarithm
         of its lead; texts with a clear segment in another language than their label's are left out, and two counts of
         either outcome are added, so no lead is certain.
         """
-        L = len(self.names)
-        self.limit, self.apart, self.slope = np.full(L, np.inf), np.ones(L), (1.0, 0.0)
-        mine = lambda w: _hash(w, 7) >> 63 == 0
-        half = Tongues.__new__(Tongues)
-        half.names = self.names
-        half._count({k: [" ".join(filter(mine, WORDS.findall(t.lower()))) for t in fitted.get(k, ())] for k in self.names})
+        by: dict[tuple[str, str], list[tuple[int, int]]] = {}
+        for r in costs.sort_by("at").to_pylist():
+            by.setdefault((r["l"], r["kind"]), []).append((r["at"], r["n"]))
+        tally = {k: tuple(np.array(v, np.int64).T) for k, v in by.items()}
         for j, name in enumerate(self.names):
-            rest = [" ".join(w for w in WORDS.findall(x.lower()) if not mine(w)) for t in fitted.get(name, ())[:60] for x in segments(t)]
-            score, chars, _ = half.scores([x for x in rest if len(x) >= TOLD])
-            if len(score) >= 20:
-                e = -score[:, j] / chars
-                self.limit[j] = float(e.mean())
-                self.apart[j] = max(0.2, float(e.std()))
-            seen, n, words = self.scores([x for t in held.get(name, ()) for x in segments(t)])
-            seen = -seen[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j), j] / n[(n >= TOLD) & (words > 1) & (seen.argmax(1) == j)] if len(n) else n
-            if len(seen) >= 20:
-                self.limit[j] = max(self.limit[j], float(np.quantile(seen, 0.999))) if self.limit[j] < np.inf else np.inf
-        x, y = [], []
-        for j, name in enumerate(self.names):
-            for t in held.get(name, ()):
-                score, chars, _ = self.scores(segments(t))
-                score = score[chars > 0]
-                if not len(score):
-                    continue
-                lead, right = self._lead(score), score.argmax(1) == j
-                if not (~right & (lead >= 9)).any():
-                    x += lead.tolist()
-                    y += right.tolist()
-        if len(x) < 20:
+            if (name, "rest") not in tally or (name, "rest") in tally and tally[name, "rest"][1].sum() < 20:
+                continue
+            at, n = tally[name, "rest"]
+            at = at / COST_STEPS
+            mean = float((at * n).sum() / n.sum())
+            self.limit[j], self.apart[j] = mean, max(0.2, float(np.sqrt(((at - mean) ** 2 * n).sum() / n.sum())))
+            at, n = tally.get((name, "seen"), (np.zeros(0), np.zeros(0, np.int64)))
+            if n.sum() >= 20:
+                place, upto = (n.sum() - 1) * 0.999, np.cumsum(n)
+                low, high = (at[np.searchsorted(upto, i, "right")] / COST_STEPS for i in (int(place), min(int(place) + 1, int(n.sum()) - 1)))
+                self.limit[j] = max(self.limit[j], float(low + (place % 1) * (high - low)))
+        found = [(at / LEAD_STEPS, n, kind == "right") for (_, kind), (at, n) in tally.items() if kind in ("right", "wrong")]
+        if sum(n.sum() for _, n, _ in found) < 20:
             return
-        x, y = np.log(np.r_[x, 1.0, 1.0, 50.0, 50.0] + 1e-3), np.r_[y, 1, 0, 1, 0].astype(float)
+        x = np.concatenate([np.log(np.array([1.0, 1.0, 50.0, 50.0]) + 1e-3), *(at for at, _, _ in found)])
+        m = np.concatenate([np.ones(4), *(n for _, n, _ in found)])
+        y = np.concatenate([[1.0, 0.0, 1.0, 0.0], *(np.full(len(n), float(right)) for _, n, right in found)])
         w = np.zeros(2)
         for _ in range(30):  # Newton steps of a regression of two numbers
             p = 1 / (1 + np.exp(-(w[0] * x + w[1])))
-            g = np.array([((p - y) * x).sum() + 1e-3 * w[0], (p - y).sum()])
-            v = p * (1 - p)
+            g = np.array([(m * (p - y) * x).sum() + 1e-3 * w[0], (m * (p - y)).sum()])
+            v = m * p * (1 - p)
             w -= np.linalg.solve(np.array([[(v * x * x).sum() + 1e-3, (v * x).sum()], [(v * x).sum(), v.sum() + 1e-6]]), g)
         self.slope = (float(w[0]), float(w[1]))
 
@@ -249,7 +300,7 @@ class Tongues:
         s, n, _ = self.scores([text])
         return self.names[int(s[0].argmax())] if n[0] and self.names else None
 
-    def read(self, texts: list[list[str]], least: int = 4, margin: float = 9.0) -> list[list[tuple[int, str, float]]]:
+    def read(self, texts: list[list[str]], least: int = 4, margin: float = CLEAR) -> list[list[tuple[int, str, float]]]:
         """For each text (a list of segments): (segment, language, confidence) of every segment that has letters.
 
         A segment of TOLD letters or more (or of a few that are FAR off) whose best language is beyond the calibrated limit is
@@ -258,50 +309,198 @@ class Tongues:
         Other segments take the most probable of the languages of clear ones; a text without any takes the language of
         the whole, and is unknown where all its segments of that length are.
         """
+        out: list[list[tuple[int, str, float]]] = [[] for _ in texts]
         flat = [s for t in texts for s in t]
+        if not flat or not self.names:
+            return out
         score, chars, words = self.scores(flat)
-        lead, far = (self._lead(score), self._beyond(score, chars)) if flat and self.names else (chars, chars)
-        out, at = [], 0
-        for t in texts:
-            part = slice(at, at + len(t))
-            sc, ch, wo, le, beyond = score[part], chars[part], words[part], lead[part], far[part]
-            at += len(t)
-            if not ch.sum() or not self.names:
-                out.append([])
-                continue
-            best = sc.argmax(1)
-            told = (ch >= TOLD) & (wo > 1) | (ch >= 6) & (beyond > FAR)
-            none = told & (beyond > 0)
-            clear = (le >= margin) & ((wo >= least) | (ch >= 12)) & ~none
-            # doubtful segments take one of the languages that clear ones have, or that of the whole text
-            there = np.unique(best[clear]) if clear.any() else np.array([int(sc.sum(0).argmax())])
-            lost = none.any() and not (told & ~none).any()  # the short ones beside unknown ones tell nothing
-            found = []
-            for k in np.flatnonzero(ch):
-                if none[k] or lost:
-                    found.append((int(k), UNKNOWN, float(1 - 0.5 * np.exp(-max(beyond[k], 0)))))
-                    continue
-                j = int(there[sc[k, there].argmax()])
-                gap = sc[k, j] - np.delete(sc[k], j).max() if len(self.names) > 1 else 50.0
-                found.append((int(k), self.names[j], float(self._sure(np.array([gap]))[0])))
-            out.append(found)
+        lead, beyond, best, L = self._lead(score), self._beyond(score, chars), score.argmax(1), len(self.names)
+        size = np.array([len(t) for t in texts])
+        text = np.repeat(np.arange(len(texts)), size)
+        told = (chars >= TOLD) & (words > 1) | (chars >= 6) & (beyond > FAR)
+        none = told & (beyond > 0)
+        clear = (lead >= margin) & ((words >= least) | (chars >= 12)) & ~none
+        # doubtful segments take one of the languages that clear ones have, or that of the whole text
+        there = np.zeros((len(texts), L), bool)
+        there[text[clear], best[clear]] = True
+        whole = np.zeros((len(texts), L))
+        whole[size > 0] = np.add.reduceat(score, (np.cumsum(size) - size)[size > 0], axis=0)
+        unclear = np.flatnonzero(~there.any(1))
+        there[unclear, whole[unclear].argmax(1)] = True
+        lost = np.zeros(len(texts), bool)
+        lost[text[none]] = True
+        lost[text[told & ~none]] = False  # the short ones beside unknown ones tell nothing
+        at = np.flatnonzero(chars)
+        sc, each = score[at], np.arange(len(at))
+        j = np.where(there[text[at]], sc, -np.inf).argmax(1)
+        mine = sc[each, j]
+        sc[each, j] = -np.inf
+        unknown = none[at] | lost[text[at]]
+        sure = np.where(unknown, 1 - 0.5 * np.exp(-np.maximum(beyond[at], 0)), self._sure(mine - sc.max(1) if L > 1 else np.full(len(at), 50.0)))
+        place = at - (np.cumsum(size) - size)[text[at]]
+        names = np.where(unknown, L, j).tolist()
+        named = [*self.names, UNKNOWN]
+        for t, k, x, c in zip(text[at].tolist(), place.tolist(), names, sure.tolist()):
+            out[t].append((k, named[x], c))
         return out
 
 
-def samples(df: DataFrame, text_col: str = "text", label_col: str = "language", each: int = 300) -> dict[str, list[str]]:
-    """Texts of each labelled language: the `each` of smallest hash, a bounded sample of labelled rows."""
-    rows = df.select(F.col(text_col).alias("t"), label_language(F.col(label_col)).alias("l")).where("t is not null and l is not null and length(t) >= 40")
-    order = Window.partitionBy("l").orderBy(F.xxhash64("t"), "t")
+def segments(text: str) -> list[str]:
+    return [s for s in SEGMENTS.split(text) if s and s.strip()]
+
+
+#: What a pass does with batches, the columns it gives, and those by which the others are summed.
+Pass = tuple[Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], str, list[str]]
+
+
+def _arrow(schema: str) -> pa.Schema:
+    return pa.schema([(name, pa.string() if kind == "string" else pa.int64()) for name, kind in (c.split() for c in schema.split(", "))])
+
+
+def _batch(columns: list, schema: str) -> pa.RecordBatch:
+    fields = _arrow(schema)
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, fields)], fields)
+
+
+class Labelled:
+    """The words of labelled texts that have any: `flat`, of all segments; `count`, so many of each; `label` and `text`, the place of its label and text."""
+
+    def __init__(self, labels: list[str], texts: list[str], names: tuple[str, ...] | list[str] = LANGUAGES, whole: bool = False) -> None:
+        split = [[w for s in ([t.lower()] if whole else segments(t.lower())) if (w := WORDS.findall(s))] if k in names else [] for k, t in zip(labels, texts)]
+        at = [i for i, x in enumerate(split) if x]
+        self.names = names
+        size = np.array([len(split[i]) for i in at], np.int64)
+        self.parts = list(chain.from_iterable(split))
+        self.flat = list(chain.from_iterable(self.parts))
+        self.count = np.fromiter(map(len, self.parts), np.int64, len(self.parts))
+        self.heads = np.cumsum(size) - size
+        self.own = np.array([names.index(labels[i]) for i in at], np.int64)
+        self.label, self.text = np.repeat(self.own, size), np.repeat(np.arange(len(size)), size)
+
+    def fits(self, score: np.ndarray) -> np.ndarray:
+        """Whether the best language of each segment's whole text is its label's."""
+        return (np.add.reduceat(score, self.heads, axis=0).argmax(1) == self.own)[self.text] if len(score) else np.zeros(0, bool)
+
+
+def _counting(models: tuple[Tongues, Tongues] | None) -> Pass:
+    """Counts the words of labelled texts, by their side; with `models`, one for either side, of what they read as the label's language in them."""
+    schema = "l string, w string, n0 long, n1 long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: dict[str, tuple[Counter[str], Counter[str]]] = {}
+
+        def counted() -> pa.RecordBatch:
+            rows = [(k, w, two[0][w], two[1][w]) for k, two in words.items() for w in two[0].keys() | two[1].keys()]
+            return _batch(list(zip(*rows)) or [[]] * 4, schema)
+
+        for b in batches:
+            labels, texts = b.column("l").to_pylist(), b.column("t").to_pylist()
+            for side in (0, 1):
+                at = [i for i, t in enumerate(texts) if _side(t) == side]
+                part = Labelled([labels[i] for i in at], [texts[i] for i in at], models[side].names if models else LANGUAGES, whole=not models)
+                own = models[side].own(part) if models else np.ones(len(part.label), bool)
+                found: dict[str, list[str]] = {}
+                for j, ok, ws in zip(part.label.tolist(), own.tolist(), part.parts):
+                    if ok:
+                        found.setdefault(part.names[j], []).extend(ws)
+                for k, ws in found.items():
+                    words.setdefault(k, (Counter(), Counter()))[side].update(ws)
+            if sum(len(c) for two in words.values() for c in two) > AT_ONCE:
+                yield counted()
+                words.clear()
+        yield counted()
+
+    return run, schema, ["l", "w"]
+
+
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The n-grams of counted words: how often they stand in texts of either side, and in words of side 1."""
+    for b in batches:
+        out: dict[tuple[str, str], list[int]] = {}
+        for lang, w, n0, n1 in zip(*(b.column(c).to_pylist() for c in ("l", "w", "n0", "n1"))):
+            mine, p = _side(w) * (n0 + n1), " " + w + " "
+            for i in range(1, len(p)):
+                c = out.setdefault((lang, p[max(0, i - ORDER + 1) : i + 1]), [0, 0, 0])
+                c[0] += n0
+                c[1] += n1
+                c[2] += mine
+        yield _batch([[k[0] for k in out], [k[1] for k in out], *(zip(*out.values()) if out else [[]] * 3)], SPELLING[1])
+
+
+SPELLING: Pass = (_spell, "l string, g string, n0 long, n1 long, half long", ["l", "g"])
+
+
+def _costing(even: Tongues, odd: Tongues, half: Tongues) -> Pass:
+    """Tallies what segments cost and lead by under models that have not counted them: texts of side 0 are read by `even`, of side 1 by `odd`.
+
+    Kinds: `rest`, cost per character of words of side 0 under `half`, which counted the others; `seen`, cost of segments
+    in their label's language; `right` and `wrong`, leads of segments whose best language is the label's, or is not.
+    """
+    schema = "l string, kind string, at long, n long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: Counter[tuple[str, str, int]] = Counter()
+        for b in batches:
+            labels, texts = b.column("l").to_pylist(), b.column("t").to_pylist()
+            for side, model in enumerate((even, odd)):
+                at = [i for i, t in enumerate(texts) if _side(t) == side]
+                part = Labelled([labels[i] for i in at], [texts[i] for i in at], model.names)
+                if not part.flat:
+                    continue
+                label, each = part.label, np.arange(len(part.label))
+                score, chars, words = model._scores(part.flat, part.count)
+                best, lead, fits = score.argmax(1), model._lead(score), part.fits(score)
+                mixed = np.logical_or.reduceat((best != label) & (lead >= CLEAR), part.heads)[part.text]
+                seen = fits & (best == label) & (chars >= TOLD) & (words > 1)
+                row = np.repeat(each, part.count)
+                kept = (fits & (score.max(1) - score[each, label] < CLEAR))[row] & ~np.fromiter(map(_side_of_word, part.flat), bool, len(part.flat))
+                cost, n, _ = half._scores(list(compress(part.flat, kept.tolist())), np.bincount(row[kept], minlength=len(each)))
+                rest = n > TOLD
+                at = -score[each, label] / chars
+                ahead = np.log(lead + 1e-3)
+                for kind, who, value, steps in (
+                    ("rest", rest, -cost[each, label] / np.maximum(n, 1), COST_STEPS), ("seen", seen, at, COST_STEPS),
+                    ("right", fits & ~mixed & (best == label), ahead, LEAD_STEPS), ("wrong", fits & ~mixed & (best != label), ahead, LEAD_STEPS),
+                ):
+                    key, many = np.unique((label[who] << 40) + np.rint(value[who] * steps).astype(np.int64) + (1 << 39), return_counts=True)
+                    for j, x, m in zip((key >> 40).tolist(), ((key & (1 << 40) - 1) - (1 << 39)).tolist(), many.tolist()):
+                        tally[model.names[j], kind, x] += m
+        yield _batch([*([k[i] for k in tally] for i in range(3)), list(tally.values())], schema)
+
+    return run, schema, ["l", "kind", "at"]
+
+
+def _labelled(df: DataFrame, text_col: str, label_col: str) -> DataFrame:
+    return df.select(label_language(F.col(label_col)).alias("l"), F.col(text_col).alias("t")).where("t is not null and l is not null")
+
+
+def fitted(df: DataFrame, text_col: str = "text", label_col: str = "language") -> Tongues:
+    """The models of all labelled texts of a table.
+
+    Three passes; the driver gets the distinct n-grams with their counts and the tallies of costs, no texts.
+    """
+    rows = spread(_labelled(df, text_col, label_col))
+
+    def gathered(*passes: Pass) -> pa.Table:
+        found = rows
+        for run, schema, keys in passes:
+            found = found.mapInArrow(run, schema)
+            found = found.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in found.columns if c not in keys))
+        return found.toArrow()
+
+    model = Tongues({})
+    model._fit(gathered)
+    return model
+
+
+def samples(df: DataFrame, text_col: str = "text", label_col: str = "language") -> dict[str, list[str]]:
+    """All labelled texts by language, for tables that fit in memory; `fitted` counts tables of any size where they lie."""
     out: dict[str, list[str]] = {}
-    for r in rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= each).select("l", "t").collect():
+    for r in _labelled(df, text_col, label_col).collect():
         out.setdefault(r["l"], []).append(r["t"])
     return out
 
 
-def segments(text: str) -> list[str]:
-    return [s for s in SEGMENTS.split(text) if s and s.strip()]
-
-
 def _rows(model: Tongues, skip: residue.Model | None, name: str):
     """Rows (tab_name, row_id, lang) of the cases among texts; with `skip` for pages, whose main language alone counts."""
 

@@ -271,6 +271,21 @@ def test_unknown_languages_are_rejected(spark, model):
     assert not set(lost) & set(found) and all(found[len(FOREIGN) + k] == x for k, x in enumerate(KNOWN))
 
 
+def test_fit_counts_all_labelled_texts(spark):
+    """A character of its own in each of many texts: the model of their language knows them all, whether fitted in memory or where the table lies."""
+    own = [chr(0x4E00 + k) for k in range(700)]
+    rows = [("de", f"Die alte Mühle steht am Fluss {c} und daneben wachsen zwei große Birken.") for c in own] + [("en", f"The old mill stands by the river and {k} birches grow there.") for k in range(700)]
+    df = clash(spark.createDataFrame([*rows, (None, "x"), ("de", None), ("de", ""), ("en", "12")], "language string, text string").repartition(5))
+    a, b = tongues.Tongues(tongues.samples(df)), tongues.fitted(df)
+    for model in (a, b):
+        j = model.names.index("de")
+        assert (model._words(own)[:, j] > model._words([chr(0x6E00)])[0, j]).all()
+    assert a.names == b.names == ["en", "de"] and a.slope == b.slope and (a.limit == b.limit).all() and (a.apart == b.apart).all()
+    for x in ("alpha_key", "alpha", "gamma_key", "gamma"):
+        assert np.array_equal(getattr(a, x), getattr(b, x))
+    assert tongues.fitted(df.limit(0)).names == []
+
+
 def test_segments_of_all_texts(spark):
     from cartolex.llm.queries import p5_segments
 
